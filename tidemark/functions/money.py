@@ -21,5 +21,9 @@ def plain(col: Column) -> Column:
 
 
 def per(amount: Column, count: Column) -> Column:
-    """Exact quotient of an amount and a count, two decimals, null when the count is 0 or null."""
-    return F.round(amount.cast("decimal(38,6)") / F.nullif(count, F.lit(0)), 2)
+    """Quotient of an amount and a count to two decimals, null when the count is 0 or null.
+
+    The types leave 16 decimals to the quotient, enough for no tie to be rounded twice.
+    """
+    return F.round(
+        amount.cast("decimal(28,6)") / F.nullif(count.cast("decimal(12,0)"), F.lit(0)), 2)

@@ -2,11 +2,11 @@
 
 from tidemark.operators.history import advance, is_current, snapshot, version_id
 from tidemark.operators.latest import latest
-from tidemark.operators.ntile import Order, ntile_scores
+from tidemark.operators.ntile import Order, ntile_scores, tile_columns
 from tidemark.operators.overlap import overlapping_versions
 from tidemark.operators.upsert import DuplicateKeys, require_unique, sync_columns, upsert
 from tidemark.operators.watermark import high_water_mark, since
 
-__all__ = ["advance", "is_current", "snapshot", "version_id", "latest", "Order", "ntile_scores",
+__all__ = ["advance", "is_current", "snapshot", "version_id", "latest", "Order", "ntile_scores", "tile_columns",
            "overlapping_versions", "DuplicateKeys", "require_unique", "sync_columns", "upsert",
            "high_water_mark", "since"]

@@ -85,15 +85,15 @@ def _locate(counts: dict[int, int], rank: int) -> tuple[int, int, int]:
     raise AssertionError("rank lies beyond the table")
 
 
-def ntile_scores(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
-                 rank_rows: int = 2_000_000, sample_rows: int = 20_000) -> DataFrame:
-    """Add one NTILE column per entry of `scores`; equal keys are ordered by `id_col` (unique).
-
-    Keys must be numeric. Work: one narrow written copy, then per round a count and a small
-    sample. A round narrows each interval about 50-fold; once one holds at most `rank_rows` rows
-    these are ranked, for every tile end apart.
+def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
+                 rank_rows: int = 2_000_000, sample_rows: int = 20_000) -> dict[str, Column]:
+    """An NTILE expression per entry of `scores`, to be put on the rows of `df`.
+
+    Keys must be numeric; equal keys are ordered by `id_col`, which is unique. `df` is read several
+    times and should be stored. Per round it is counted, and a small sample is taken. A round
+    narrows each interval about 50-fold; once one holds at most `rank_rows` rows these are ranked,
+    for every tile end apart.
     """
-    df = materialize(df, "ntile")
     total = df.count()
     places = [_place(df, o, id_col) for o in scores.values()]
     searches = [_Search(p, df.select(p.alias("p")).schema["p"].dataType, tile_ends(total, tiles))
@@ -144,4 +144,11 @@ def ntile_scores(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles:
             col = F.when(s.place <= s.literal(s.found[t]), t).otherwise(col)
         return col
 
-    return df.withColumns({name: label(s) for name, s in zip(scores, searches)})
+    return {name: label(s) for name, s in zip(scores, searches)}
+
+
+def ntile_scores(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
+                 **search: int) -> DataFrame:
+    """The table with one NTILE column per entry of `scores`."""
+    df = materialize(df, "ntile")
+    return df.withColumns(tile_columns(df, id_col, scores, tiles, **search))

@@ -11,8 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import money, ntz, per, plain, to_day, units
-from tidemark.operators import Order, ntile_scores
+from tidemark.operators import Order, tile_columns
 from tidemark.schemas import STATUSES
+from tidemark.session import materialize
 
 
 def _count_if(condition: Column) -> Column:
@@ -119,6 +120,28 @@ def mart_product_performance(products: DataFrame, items: DataFrame,
                 count("positive_reviews"), count("negative_reviews")))
 
 
+# ── net variants: each line once ─────────────────────────────────────────────
+
+def mart_revenue_net(orders: DataFrame, items: DataFrame, dates: DataFrame) -> DataFrame:
+    """Line totals by month and category; lines without an order are left out.
+
+    Lines are summed per order and category first, so an order of any size is one small row.
+    """
+    lines = items.groupBy("order_id", "category").agg(
+        F.sum(money("line_total")).alias("_net"))
+    return (lines.join(orders.select("order_id", F.col("order_date_key").alias("date_key")),
+                       "order_id")
+            .join(_calendar(dates.select("date_key", "year", "month")), "date_key", "left")
+            .groupBy("year", "month", "category")
+            .agg(plain(F.sum("_net")).alias("net_revenue"),
+                 F.count("order_id").alias("total_orders")))
+
+
+def mart_product_net(items: DataFrame) -> DataFrame:
+    return items.groupBy("product_id").agg(
+        F.sum("quantity").alias("units"), plain(F.sum(money("line_total"))).alias("revenue"))
+
+
 # ── customers ────────────────────────────────────────────────────────────────
 
 def customer_stats(orders: DataFrame, as_of: dt.datetime | str) -> DataFrame:
@@ -156,15 +179,14 @@ def rfm_scores(stats: DataFrame, high_is_good: bool = False, **search: int) -> D
     """Recency, frequency and monetary value in fifths, for customers with an order that counts.
 
     As given, 1 is the most recent, most frequent and highest fifth; `high_is_good` turns the
-    scores round.
+    scores round. Other customers keep null scores. `stats` is read several times.
     """
-    rfm = stats.filter("frequency IS NOT NULL").select(
-        "customer_id", "recency_days", "frequency", "monetary")
-    scored = ntile_scores(rfm, "customer_id", {
+    scores = tile_columns(stats.filter("frequency IS NOT NULL"), "customer_id", {
         "recency_score": Order("recency_days", descending=high_is_good),
         "frequency_score": Order("frequency", descending=not high_is_good),
         "monetary_score": Order("monetary", descending=not high_is_good)}, **search)
-    return scored.withColumn("monetary", plain(F.col("monetary")))
+    counts = F.col("frequency").isNotNull()
+    return stats.withColumns({name: F.when(counts, col) for name, col in scores.items()})
 
 
 def segment(recency: Column, frequency: Column) -> Column:
@@ -183,14 +205,13 @@ def rfm_score() -> Column:
 
 def mart_customer_orders(customers: DataFrame, orders: DataFrame, as_of: dt.datetime | str,
                          high_is_good: bool = False, **search: int) -> DataFrame:
-    stats = customer_stats(orders, as_of)
-    scores = rfm_scores(stats, high_is_good, **search)
-    totals = (stats.drop("recency_days", "frequency", "monetary")
-              .withColumn("lifetime_value", plain(F.col("lifetime_value"))))
+    stats = rfm_scores(materialize(customer_stats(orders, as_of), "rfm"), high_is_good, **search)
+    stats = stats.withColumns({"lifetime_value": plain(F.col("lifetime_value")),
+                               "monetary": plain(F.col("monetary"))})
     return (
         customers.filter("is_current")
         .select("customer_id", "full_name", "email", "city", "state", "country")
-        .join(totals, "customer_id", "left").join(scores, "customer_id", "left")
+        .join(stats, "customer_id", "left")
         .withColumn("rfm_score", rfm_score())
         .withColumn("customer_segment", segment(F.col("recency_score"), F.col("frequency_score"))))
 

@@ -71,11 +71,12 @@ def month_over_month(revenue: DataFrame) -> DataFrame:
         _sum("gross_revenue").alias("_now"), F.sum("total_orders").alias("monthly_orders"))
     before = F.lag("_now").over(
         Window.partitionBy("category").orderBy(_up("year"), _up("month")))
-    growth = (F.col("_now") - F.col("_before")).cast("decimal(38,6)") * 100
+    growth = ((F.col("_now") - F.col("_before")) * 100).cast("decimal(24,2)")
     return (months.withColumn("_before", before)
             .select("year", "month", "month_name", "category",
                     plain(F.col("_now")).alias("monthly_revenue"), "monthly_orders",
-                    plain(F.round(growth / F.nullif("_before", F.lit(0)), 2))
+                    plain(F.round(
+                        growth / F.nullif(F.col("_before").cast("decimal(24,2)"), F.lit(0)), 2))
                     .alias("revenue_growth_pct"))
             .orderBy(_down("year"), _down("month"), _down("monthly_revenue"), "category"))
 

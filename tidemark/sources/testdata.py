@@ -23,8 +23,26 @@ RUN_AT = {d: f"{day} 06:00:00" for d, day in DAYS.items()}
 NEW_ORDER_IDS = 10_000_000_000
 
 
+# Columns of the driver's tables. Given, so that reading a table starts no job to look for them.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _at(day: int) -> Column:
@@ -126,13 +144,13 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         _at(1).alias("_extracted_at"))
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, until: int = 2) -> dict[str, DataFrame]:
-    """All that was extracted up to and including a day."""
-    def days(read, last):
-        return reduce(DataFrame.unionByName,
-                      (read(spark, sf_dir, d) for d in range(1, min(until, last) + 1)))
-    return {
-        "customers": days(customers_on, 3), "products": days(products_on, 3),
-        "orders": days(orders_on, 2), "order_items": order_items(spark, sf_dir),
-        "reviews": reviews(spark, sf_dir),
-    }
+_DAILY = {"customers": (customers_on, 3), "products": (products_on, 3), "orders": (orders_on, 2)}
+
+
+def raw(spark: SparkSession, sf_dir: str, entity: str, until: int = 2) -> DataFrame:
+    """All that was extracted of an entity up to and including a day."""
+    if entity not in _DAILY:
+        return {"order_items": order_items, "reviews": reviews}[entity](spark, sf_dir)
+    read, last = _DAILY[entity]
+    return reduce(DataFrame.unionByName,
+                  (read(spark, sf_dir, d) for d in range(1, min(until, last) + 1)))
