@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def MONEY(name: str) -> str:  # noqa: N802
+    """`money` as SQL text."""
+    return f"CAST({name} AS DECIMAL(18,2))"
+
+
 def money(col: Column | str) -> Column:
     """A stored double as an amount of cents, so that sums do not depend on row order."""
     return F.col(col).cast("decimal(18,2)") if isinstance(col, str) else col.cast("decimal(18,2)")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Fixed value: the characters after which a new word starts, besides the blank.
 WORD_BREAKS = r"""[\t\n\x0B\f\r!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>]"""
 
@@ -11,11 +9,12 @@ WORD_BREAKS = r"""[\t\n\x0B\f\r!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>]"""
 _MARK = "\ue000"
 
 
-def title_case(col: Column) -> Column:
-    """Capitalise each word, where punctuation starts a new word too (`winston-salem` → `Winston-Salem`).
+def title_case(col: str) -> str:
+    """SQL to capitalise each word, where punctuation starts a new word, too
+    (`winston-salem` becomes `Winston-Salem`).
 
     The built-in `initcap` splits at blanks only, so a marked blank is put in after each
     break and taken out again.
     """
-    split = F.regexp_replace(col, f"({WORD_BREAKS})", f"$1{_MARK} ")
-    return F.replace(F.initcap(split), F.lit(f"{_MARK} "), F.lit(""))
+    split = f"regexp_replace({col}, r'({WORD_BREAKS})', '$1{_MARK} ')"
+    return f"replace(initcap({split}), '{_MARK} ', '')"

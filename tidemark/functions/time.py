@@ -21,13 +21,3 @@ def to_day(col: Column) -> Column:
 def hours_crossed(start: Column, end: Column) -> Column:
     """Hour marks passed on the clock: 00:59 to 01:01 is one, though two minutes apart."""
     return (F.datediff(end, start) * 24 + F.hour(end) - F.hour(start)).cast("long")
-
-
-def weekday(day: Column) -> Column:
-    """0 is Sunday, 6 is Saturday."""
-    return F.dayofweek(day) - 1
-
-
-def date_key(day: Column) -> Column:
-    """A day as the integer yyyymmdd."""
-    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)

@@ -4,20 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions import ntz
-
 VALID_FROM, VALID_TO, VERSION_ID = "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"
 
 
-def version_id(key: Column, valid_from: Column) -> Column:
-    return F.md5(F.concat_ws("|", key.cast("string"), valid_from.cast("string")))
-
-
 def is_current() -> Column:
     return F.col(VALID_TO).isNull()
 
@@ -35,28 +27,25 @@ def advance(open_rows: DataFrame, current: DataFrame, key: str, check: Sequence[
     One full outer join on the key, which is unique on both sides. A row whose checked columns
     are all the same stays exactly as it was, its unchecked columns included.
     """
-    cols, now = current.columns, ntz(as_of)
-    old = open_rows.select(F.col(key).alias("_old_key"), F.struct(
-        *cols, VALID_FROM, VALID_TO, VERSION_ID).alias("_old"))
-    new = current.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
-    both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
-
-    gone, added = F.col("_new").isNull(), F.col("_old").isNull()
-    changed = ~added & ~gone & reduce(
-        or_, (~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in check))
-    closes = (changed | (gone & ~added)) if close_vanished else changed
-
-    kept = F.when(~added, F.struct(
-        *(F.col(f"_old.{c}") for c in cols),
-        F.col(f"_old.{VALID_FROM}"),
-        F.when(closes, now).alias(VALID_TO),
-        F.col(f"_old.{VERSION_ID}")))
-    opened = F.when(added | changed, F.struct(
-        *(F.col(f"_new.{c}") for c in cols),
-        now.alias(VALID_FROM),
-        F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
-        version_id(F.col(f"_new.{key}"), now).alias(VERSION_ID)))
-    return both.select(F.inline(F.array_compact(F.array(kept, opened))))
+    cols, now = current.columns, f"TIMESTAMP_NTZ '{as_of}'"
+    old = open_rows.selectExpr(
+        f"{key} AS _old_key",
+        f"struct({', '.join([*cols, VALID_FROM, VALID_TO, VERSION_ID])}) AS _old")
+    new = current.selectExpr(f"{key} AS _new_key", f"struct({', '.join(cols)}) AS _new")
+    both = old.join(new, F.expr("_old_key = _new_key"), "full_outer")
+
+    differs = " OR ".join(f"NOT (_old.{c} <=> _new.{c})" for c in check)
+    changed = f"(_old IS NOT NULL AND _new IS NOT NULL AND ({differs}))"
+    closes = f"({changed} OR _new IS NULL)" if close_vanished else changed
+    kept = ", ".join([*(f"_old.{c} AS {c}" for c in cols), f"_old.{VALID_FROM} AS {VALID_FROM}",
+                      f"IF({closes}, {now}, NULL) AS {VALID_TO}",
+                      f"_old.{VERSION_ID} AS {VERSION_ID}"])
+    opened = ", ".join([*(f"_new.{c} AS {c}" for c in cols), f"{now} AS {VALID_FROM}",
+                        f"CAST(NULL AS TIMESTAMP_NTZ) AS {VALID_TO}",
+                        f"md5(concat_ws('|', _new.{key}, {now})) AS {VERSION_ID}"])
+    return both.selectExpr(f"""inline(array_compact(array(
+        IF(_old IS NOT NULL, struct({kept}), NULL),
+        IF(_old IS NULL OR {changed}, struct({opened}), NULL))))""")
 
 
 def snapshot(history: DataFrame | None, current: DataFrame, key: str, check: Sequence[str],

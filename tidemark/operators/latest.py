@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 
 def latest(df: DataFrame, key: str, ts: str = "_extracted_at",
@@ -17,6 +17,6 @@ def latest(df: DataFrame, key: str, ts: str = "_extracted_at",
     hot spot.
     """
     rest = tie_break if tie_break is not None else [c for c in df.columns if c not in (key, ts)]
-    order = Window.partitionBy(key).orderBy(
-        F.col(ts).desc_nulls_first(), *(F.col(c).desc_nulls_last() for c in rest))
-    return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    order = ", ".join([f"{ts} DESC NULLS FIRST"] + [f"{c} DESC NULLS LAST" for c in rest])
+    return (df.selectExpr("*", f"row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rank")
+            .filter("_rank = 1").drop("_rank"))

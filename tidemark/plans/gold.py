@@ -6,8 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions import date_key, to_day, weekday
-from tidemark.operators import is_current, snapshot
+from tidemark.operators import snapshot
 
 # The columns whose change opens a new version.
 CUSTOMER_CHECKS = ["city", "state", "phone", "email"]
@@ -24,68 +23,70 @@ def product_history(history: DataFrame | None, stg: DataFrame, as_of: dt.datetim
 
 def dim_customers(history: DataFrame) -> DataFrame:
     """One row per version; the key is the natural id, so look-ups must ask for `is_current`."""
-    return history.select(
-        F.col("customer_id").alias("customer_key"), "customer_id", "first_name", "last_name",
-        F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),
-        "email", "username", "phone", "city", "state", "zipcode", "country", "created_at",
-        "updated_at", "dbt_valid_from", "dbt_valid_to", is_current().alias("is_current"),
-        "dbt_scd_id")
+    return history.selectExpr(
+        "customer_id AS customer_key", "customer_id", "first_name", "last_name",
+        "first_name || ' ' || last_name AS full_name", "email", "username", "phone", "city",
+        "state", "zipcode", "country", "created_at", "updated_at", "dbt_valid_from",
+        "dbt_valid_to", "dbt_valid_to IS NULL AS is_current", "dbt_scd_id")
 
 
 def dim_products(history: DataFrame) -> DataFrame:
-    return history.select(
-        F.col("product_id").alias("product_key"), "product_id", "title", "category", "price",
-        "cost_price", "gross_margin", "stock_quantity", "rating", "review_count", "updated_at",
-        "dbt_valid_from", "dbt_valid_to", is_current().alias("is_current"), "dbt_scd_id")
+    return history.selectExpr(
+        "product_id AS product_key", "product_id", "title", "category", "price", "cost_price",
+        "gross_margin", "stock_quantity", "rating", "review_count", "updated_at",
+        "dbt_valid_from", "dbt_valid_to", "dbt_valid_to IS NULL AS is_current", "dbt_scd_id")
 
 
 def day_spine(spark: SparkSession, start: dt.date | str = "2024-01-01",
               end: dt.date | str = "2027-12-31", include_end: bool = False) -> DataFrame:
     """All days from start to end; the end itself is left out unless asked for."""
-    last = F.lit(str(end)).cast("date")
-    last = last if include_end else F.date_sub(last, 1)
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(str(start)).cast("date"), last)).alias("date_day"))
+    last = f"DATE '{end}'" if include_end else f"DATE '{end}' - 1"
+    return spark.range(1).selectExpr(
+        f"explode(sequence(DATE '{start}', {last})) AS date_day")
 
 
 def day_spine_of(rows: DataFrame, ts: str) -> DataFrame:
     """All days from the first to the last that occurs in the rows."""
-    return (rows.agg(F.min(to_day(F.col(ts))).alias("a"), F.max(to_day(F.col(ts))).alias("b"))
-            .select(F.explode(F.sequence("a", "b")).alias("date_day")))
+    return (rows.selectExpr(f"min(CAST({ts} AS DATE)) AS a", f"max(CAST({ts} AS DATE)) AS b")
+            .selectExpr("explode(sequence(a, b)) AS date_day"))
 
 
 def dim_date(spine: DataFrame) -> DataFrame:
-    day, month = F.col("date_day"), F.month("date_day")
-    return spine.select(
-        date_key(day).alias("date_key"), day.alias("full_date"), F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"), month.alias("month"),
-        F.monthname(day).alias("month_name"), F.weekofyear(day).alias("week_of_year"),
-        F.dayofmonth(day).alias("day_of_month"), F.dayname(day).alias("day_name"),
-        weekday(day).alias("day_of_week"), weekday(day).isin(0, 6).alias("is_weekend"),
-        F.when(month.isin(12, 1, 2), "Winter").when(month.isin(3, 4, 5), "Spring")
-        .when(month.isin(6, 7, 8), "Summer").otherwise("Fall").alias("season"))
+    return spine.selectExpr(
+        "year(date_day) * 10000 + month(date_day) * 100 + day(date_day) AS date_key",
+        "date_day AS full_date", "year(date_day) AS year", "quarter(date_day) AS quarter",
+        "month(date_day) AS month", "monthname(date_day) AS month_name",
+        "weekofyear(date_day) AS week_of_year", "day(date_day) AS day_of_month",
+        "dayname(date_day) AS day_name", "dayofweek(date_day) - 1 AS day_of_week",
+        "dayofweek(date_day) IN (1, 7) AS is_weekend",
+        """CASE WHEN month(date_day) IN (12, 1, 2) THEN 'Winter'
+                WHEN month(date_day) IN (3, 4, 5) THEN 'Spring'
+                WHEN month(date_day) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season""")
 
 
 def _days(dates: DataFrame) -> DataFrame:
     """Day to key, broadcast: a calendar has 366 rows a year, whatever the facts grow to."""
-    return F.broadcast(dates.select("date_key", F.col("full_date").alias("_day")))
+    return F.broadcast(dates.selectExpr("date_key", "full_date AS _day"))
+
+
+def _with_day(facts: DataFrame, ts: str, dates: DataFrame) -> DataFrame:
+    return facts.join(_days(dates), F.expr(f"CAST({ts} AS DATE) = _day"), "left")
 
 
 def fct_orders(orders: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
     current = customers.filter("is_current").select("customer_id", "customer_key")
-    return (orders.join(current, "customer_id", "left")
-            .join(_days(dates), to_day(F.col("order_date")) == F.col("_day"), "left")
-            .select("order_id", "customer_id", "customer_key",
-                    F.col("date_key").alias("order_date_key"), "order_date", "status",
-                    "payment_method", "shipping_city", "total_amount", "updated_at",
-                    "_extracted_at"))
+    facts = orders.join(current, "customer_id", "left")
+    return _with_day(facts, "order_date", dates).selectExpr(
+        "order_id", "customer_id", "customer_key", "date_key AS order_date_key", "order_date",
+        "status", "payment_method", "shipping_city", "total_amount", "updated_at",
+        "_extracted_at")
 
 
 def fct_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
     """Lines with the product as it is now. No order column is needed, so orders are not joined."""
-    current = products.filter("is_current").select(
-        "product_id", "product_key", F.col("title").alias("product_title"), "category",
-        F.col("price").alias("current_price"))
+    current = products.filter("is_current").selectExpr(
+        "product_id", "product_key", "title AS product_title", "category",
+        "price AS current_price")
     return items.join(current, "product_id", "left").select(
         "order_item_id", "order_id", "product_id", "product_key", "product_title", "category",
         "quantity", "unit_price", "line_total", "calculated_line_total", "current_price",
@@ -94,17 +95,15 @@ def fct_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
 
 def fct_reviews(reviews: DataFrame, customers: DataFrame, products: DataFrame,
                 dates: DataFrame) -> DataFrame:
-    buyer = customers.filter("is_current").select(
-        "customer_id", "customer_key", F.col("full_name").alias("customer_name"))
-    product = products.filter("is_current").select(
-        "product_id", "product_key", F.col("title").alias("product_title"), "category")
-    rating = F.col("rating")
-    return (reviews.join(buyer, "customer_id", "left").join(product, "product_id", "left")
-            .join(_days(dates), to_day(F.col("reviewed_at")) == F.col("_day"), "left")
-            .select("review_id", "order_id", "product_id", "product_key", "product_title",
-                    "category", "customer_id", "customer_key", "customer_name",
-                    F.col("date_key").alias("review_date_key"), "reviewed_at", "rating",
-                    "review_text",
-                    F.when(rating >= 4.0, "positive").when(rating >= 3.0, "neutral")
-                    .otherwise("negative").alias("sentiment"),
-                    "_extracted_at"))
+    buyer = customers.filter("is_current").selectExpr(
+        "customer_id", "customer_key", "full_name AS customer_name")
+    product = products.filter("is_current").selectExpr(
+        "product_id", "product_key", "title AS product_title", "category")
+    facts = reviews.join(buyer, "customer_id", "left").join(product, "product_id", "left")
+    return _with_day(facts, "reviewed_at", dates).selectExpr(
+        "review_id", "order_id", "product_id", "product_key", "product_title", "category",
+        "customer_id", "customer_key", "customer_name", "date_key AS review_date_key",
+        "reviewed_at", "rating", "review_text",
+        """CASE WHEN rating >= 4.0 THEN 'positive' WHEN rating >= 3.0 THEN 'neutral'
+                ELSE 'negative' END AS sentiment""",
+        "_extracted_at")

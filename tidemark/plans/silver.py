@@ -6,9 +6,9 @@ one through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tidemark.functions import money, plain, title_case
+from tidemark.functions import MONEY, title_case
 from tidemark.operators import latest
 from tidemark.schemas import ENTITIES
 
@@ -18,54 +18,51 @@ def _fields(raw: DataFrame, entity: str) -> DataFrame:
     return raw.select(*ENTITIES[entity].fields.names)
 
 
-def _clean(name: str):
-    return F.lower(F.trim(name))
-
-
 def customers(raw: DataFrame) -> DataFrame:
     rows = latest(_fields(raw, "customers").filter("customer_id IS NOT NULL"), "customer_id")
-    return rows.withColumns({
-        "first_name": F.trim("first_name"), "last_name": F.trim("last_name"),
-        "email": _clean("email"), "username": _clean("username"),
-        "city": title_case(F.col("city")), "state": F.upper("state"),
-        "country": F.upper("country")})
+    return rows.selectExpr(
+        "customer_id", "trim(first_name) AS first_name", "trim(last_name) AS last_name",
+        "lower(trim(email)) AS email", "lower(trim(username)) AS username", "phone",
+        f"{title_case('city')} AS city", "upper(state) AS state", "zipcode",
+        "upper(country) AS country", "created_at", "updated_at", "_extracted_at")
 
 
 def products(raw: DataFrame) -> DataFrame:
     rows = latest(
         _fields(raw, "products").filter("product_id IS NOT NULL AND price > 0"), "product_id")
-    stock = F.col("stock_quantity")
-    return rows.select(
-        "product_id", F.trim("title").alias("title"), _clean("category").alias("category"),
-        "price", "cost_price",
-        F.when(stock < 0, 0).otherwise(stock).alias("stock_quantity"),
-        "rating", "review_count",
-        plain(money("price") - money("cost_price")).alias("gross_margin"),
+    return rows.selectExpr(
+        "product_id", "trim(title) AS title", "lower(trim(category)) AS category", "price",
+        "cost_price", "IF(stock_quantity < 0, 0, stock_quantity) AS stock_quantity", "rating",
+        "review_count", f"CAST({MONEY('price')} - {MONEY('cost_price')} AS DOUBLE) AS gross_margin",
         "updated_at", "_extracted_at")
 
 
 def orders(raw: DataFrame) -> DataFrame:
     rows = latest(_fields(raw, "orders").filter(
         "order_id IS NOT NULL AND customer_id IS NOT NULL AND total_amount > 0"), "order_id")
-    return rows.withColumns({
-        "status": _clean("status"), "payment_method": _clean("payment_method"),
-        "shipping_city": title_case(F.col("shipping_city"))})
+    return rows.selectExpr(
+        "order_id", "customer_id", "order_date", "lower(trim(status)) AS status",
+        "lower(trim(payment_method)) AS payment_method",
+        f"{title_case('shipping_city')} AS shipping_city", "total_amount", "updated_at",
+        "_extracted_at")
 
 
 def order_items(raw: DataFrame) -> DataFrame:
     rows = latest(_fields(raw, "order_items").filter(
         "order_item_id IS NOT NULL AND order_id IS NOT NULL AND quantity > 0 AND unit_price > 0"),
         "order_item_id")
-    return rows.select(
+    return rows.selectExpr(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total",
-        plain(money("unit_price") * F.col("quantity")).alias("calculated_line_total"),
+        f"CAST({MONEY('unit_price')} * quantity AS DOUBLE) AS calculated_line_total",
         "_extracted_at")
 
 
 def reviews(raw: DataFrame) -> DataFrame:
     rows = latest(_fields(raw, "reviews").filter(
         "review_id IS NOT NULL AND rating BETWEEN 1.0 AND 5.0"), "review_id")
-    return rows.withColumn("review_text", F.trim("review_text"))
+    return rows.selectExpr(
+        "review_id", "order_id", "product_id", "customer_id", "rating",
+        "trim(review_text) AS review_text", "reviewed_at", "updated_at", "_extracted_at")
 
 
 CLEAN = {"customers": customers, "products": products, "orders": orders,

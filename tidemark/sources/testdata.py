@@ -14,9 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from tidemark.functions import money, ntz, plain
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DAYS = {1: "2026-01-01", 2: "2026-01-02", 3: "2026-01-03"}
 RUN_AT = {d: f"{day} 06:00:00" for d, day in DAYS.items()}
@@ -45,103 +43,86 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _at(day: int) -> Column:
-    return ntz(f"{DAYS[day]} 00:00:00")
+def _at(day: int) -> str:
+    return f"TIMESTAMP_NTZ '{DAYS[day]} 00:00:00'"
 
 
 def customers_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    segment = F.col("c_mktsegment")
-    city, phone = F.col("n_name"), F.col("c_acctbal").cast("decimal(18,2)").cast("string")
-    first = F.lit(" Customer ")
+    city, first = "n_name", "' Customer '"
+    phone = "CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING)"
     if day == 2:
-        city = F.when(segment == "BUILDING", "new-town east").otherwise(city)
+        city = "IF(c_mktsegment = 'BUILDING', 'new-town east', n_name)"
     if day == 3:
-        phone = F.when(segment == "MACHINERY", None).otherwise(phone)
-        first = F.when(segment == "FURNITURE", "Renamed").otherwise(first)
-    return (c.join(nation, c.c_nationkey == nation.n_nationkey, "left")
-            .join(region, nation.n_regionkey == region.r_regionkey, "left")
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                first.alias("first_name"),
-                F.substring("c_name", 10, 100).alias("last_name"),
-                F.concat(F.upper("c_name"), F.lit("@example.com")).alias("email"),
-                F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("username"),
-                phone.alias("phone"), city.alias("city"),
-                F.lower("r_name").alias("state"),
-                F.col("c_nationkey").cast("string").alias("zipcode"),
-                F.lit("us").alias("country"),
-                ntz("2020-01-01 00:00:00").alias("created_at"),
-                ntz("2025-12-31 00:00:00").alias("updated_at"),
-                _at(day).alias("_extracted_at")))
+        phone = f"IF(c_mktsegment = 'MACHINERY', NULL, {phone})"
+        first = "IF(c_mktsegment = 'FURNITURE', 'Renamed', ' Customer ')"
+    places = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"), "left")
+    return (table(spark, sf_dir, "customer")
+            .join(places, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+                "c_custkey AS customer_id", f"{first} AS first_name",
+                "substring(c_name, 10) AS last_name",
+                "upper(c_name) || '@example.com' AS email", "' ' || c_name || ' ' AS username",
+                f"{phone} AS phone", f"{city} AS city", "lower(r_name) AS state",
+                "CAST(c_nationkey AS STRING) AS zipcode", "'us' AS country",
+                "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS created_at",
+                "TIMESTAMP_NTZ '2025-12-31 00:00:00' AS updated_at",
+                f"{_at(day)} AS _extracted_at"))
 
 
 def products_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    price = money("p_retailprice")
-    now, stock = price, F.col("p_size").cast("long") - 5
+    price = "CAST(p_retailprice AS DECIMAL(18,2))"
+    now, stock = price, "p_size - 5L"
     if day == 2:
-        now = F.when(F.col("p_type") == "ECONOMY", price * 2).otherwise(price)
+        now = f"IF(p_type = 'ECONOMY', {price} * 2, {price})"
     if day == 3:
-        stock = F.when(F.col("p_type") != "SMALL", stock)
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.concat(F.lit(" "), "p_name").alias("title"),
-        F.col("p_type").alias("category"),
-        plain(now).alias("price"),
-        plain(F.round(price * F.lit("0.6").cast("decimal(2,1)"), 2)).alias("cost_price"),
-        stock.alias("stock_quantity"),
-        ((F.col("p_partkey") % 41 + 10).cast("double") / 10.0).alias("rating"),
-        F.col("p_size").cast("long").alias("review_count"),
-        ntz("2025-12-31 00:00:00").alias("updated_at"),
-        _at(day).alias("_extracted_at"))
+        stock = "IF(p_type = 'SMALL', NULL, p_size - 5L)"
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "' ' || p_name AS title", "p_type AS category",
+        f"CAST({now} AS DOUBLE) AS price",
+        f"CAST(round({price} * 0.6BD, 2) AS DOUBLE) AS cost_price",
+        f"{stock} AS stock_quantity", "CAST(p_partkey % 41 + 10 AS DOUBLE) / 10D AS rating",
+        "CAST(p_size AS BIGINT) AS review_count",
+        "TIMESTAMP_NTZ '2025-12-31 00:00:00' AS updated_at", f"{_at(day)} AS _extracted_at")
 
 
 def orders_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    priority, state = F.col("o_orderpriority"), F.col("o_orderstatus")
-    status = (F.when(priority == "1-URGENT", " Pending ").when(priority == "2-HIGH", "CONFIRMED")
-              .when(priority == "3-MEDIUM", "shipped").when(priority == "5-LOW", "cancelled")
-              .otherwise("delivered"))
-    total = F.when((priority == "3-MEDIUM") & (state == "P"), -F.col("o_totalprice")).otherwise(
-        F.col("o_totalprice"))
-    ident = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    status = """CASE o_orderpriority WHEN '1-URGENT' THEN ' Pending ' WHEN '2-HIGH' THEN 'CONFIRMED'
+        WHEN '3-MEDIUM' THEN 'shipped' WHEN '5-LOW' THEN 'cancelled' ELSE 'delivered' END"""
+    total = """IF(o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P', -o_totalprice,
+        o_totalprice)"""
+    ident = "o_orderkey"
     if day == 2:
-        new = (priority == "5-LOW") & (state == "P")
-        o = o.filter(priority.isin("1-URGENT", "2-HIGH") | new)
-        status = F.when(priority == "1-URGENT", "DELIVERED").otherwise(status)
-        total = F.when(priority == "2-HIGH", 0.0).otherwise(F.col("o_totalprice"))
-        ident = F.when(new, ident + NEW_ORDER_IDS).otherwise(ident)
-    return o.select(
-        ident.alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("order_date"), status.alias("status"),
-        F.concat(F.lit(" "), state).alias("payment_method"), priority.alias("shipping_city"),
-        total.alias("total_amount"), F.col("o_orderdate").alias("updated_at"),
-        _at(day).alias("_extracted_at"))
+        new = "(o_orderpriority = '5-LOW' AND o_orderstatus = 'P')"
+        orders = orders.filter(f"o_orderpriority IN ('1-URGENT', '2-HIGH') OR {new}")
+        status = f"IF(o_orderpriority = '1-URGENT', 'DELIVERED', {status})"
+        total = "IF(o_orderpriority = '2-HIGH', 0D, o_totalprice)"
+        ident = f"IF({new}, o_orderkey + {NEW_ORDER_IDS}, o_orderkey)"
+    return orders.selectExpr(
+        f"{ident} AS order_id", "o_custkey AS customer_id", "o_orderdate AS order_date",
+        f"{status} AS status", "' ' || o_orderstatus AS payment_method",
+        "o_orderpriority AS shipping_city", f"{total} AS total_amount",
+        "o_orderdate AS updated_at", f"{_at(day)} AS _extracted_at")
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines carry their ship date as extraction time; many ids occur more than once."""
-    quantity = F.col("l_quantity").cast("long")
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-        quantity.alias("quantity"), F.col("l_extendedprice").alias("unit_price"),
-        plain(money("l_extendedprice") * quantity).alias("line_total"),
-        F.col("l_shipdate").alias("_extracted_at"))
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS order_item_id", "l_orderkey AS order_id",
+        "l_partkey AS product_id", "CAST(l_quantity AS BIGINT) AS quantity",
+        "l_extendedprice AS unit_price",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INT) AS DOUBLE) "
+        "AS line_total", "l_shipdate AS _extracted_at")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings run from 0.8 to 5.2, so some lie outside the scale."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("review_id"), F.col("event_id").alias("order_id"),
-        F.get_json_object("props", "$.k").cast("long").alias("product_id"),
-        F.col("user_id").alias("customer_id"),
-        ((F.col("event_id") % 45 + 8).cast("double") / 10.0).alias("rating"),
-        F.concat(F.lit(" "), "event_type", F.lit(" ")).alias("review_text"),
-        F.col("ts").alias("reviewed_at"), F.col("ts").alias("updated_at"),
-        _at(1).alias("_extracted_at"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS review_id", "event_id AS order_id",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS product_id", "user_id AS customer_id",
+        "CAST(event_id % 45 + 8 AS DOUBLE) / 10D AS rating",
+        "' ' || event_type || ' ' AS review_text", "ts AS reviewed_at", "ts AS updated_at",
+        f"{_at(1)} AS _extracted_at")
 
 
 _DAILY = {"customers": (customers_on, 3), "products": (products_on, 3), "orders": (orders_on, 2)}
