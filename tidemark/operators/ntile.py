@@ -85,6 +85,26 @@ def _locate(counts: dict[int, int], rank: int) -> tuple[int, int, int]:
     raise AssertionError("rank lies beyond the table")
 
 
+def _cuts(df: DataFrame, s: _Search, slots: set[int], counts: dict[int, int], sample_rows: int,
+          seed: int) -> set[Any]:
+    """Cut points close around the wanted ranks in the given intervals, from one sample of them."""
+    rows = sum(counts[slot] for slot in slots)
+    sample: dict[int, list[Any]] = {slot: [] for slot in slots}
+    picked = (df.select(s.place.alias("p"), s.slot().alias("slot"))
+              .filter(F.col("slot").isin(sorted(slots)))
+              .sample(min(1.0, sample_rows / rows), seed=seed))
+    for row in picked.collect():   # about `sample_rows` rows
+        sample[row["slot"]].append(tuple(row["p"]))
+    cuts = set()
+    for rank in s.ends.values():
+        slot, inner, inside = _locate(counts, rank)
+        spots = sorted(sample.get(slot, []))
+        if spots:
+            middle, margin = inner * len(spots) // inside, isqrt(len(spots)) + 1
+            cuts |= {spots[max(0, middle - margin)], spots[min(len(spots) - 1, middle + margin)]}
+    return cuts
+
+
 def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
                  rank_rows: int = 2_000_000, sample_rows: int = 20_000) -> dict[str, Column]:
     """An NTILE expression per entry of `scores`, to be put on the rows of `df`.
@@ -101,25 +121,15 @@ def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles:
 
     for seed in count(1):
         counts = _interval_counts(df, searches)
-        wide = {(i, _locate(counts[i], rank)[0])
-                for i, s in enumerate(searches) for rank in s.ends.values()
-                if _locate(counts[i], rank)[2] > rank_rows}
-        if not wide:
+        wide = [{slot for rank in s.ends.values()
+                 for slot, _, inside in [_locate(counts[i], rank)] if inside > rank_rows}
+                for i, s in enumerate(searches)]
+        if not any(wide):
             break
         known = [list(s.cuts) for s in searches]
-        for i, slot in sorted(wide):
-            s, inside = searches[i], counts[i][slot]
-            spots = sorted(
-                tuple(r["p"]) for r in df.select(s.place.alias("p"), s.slot().alias("slot"))
-                .filter(F.col("slot") == slot)
-                .sample(min(1.0, sample_rows / inside), seed=seed).select("p").collect())
-            margin = 2 * isqrt(len(spots)) + 1
-            fresh = set()
-            for rank in s.ends.values():
-                if _locate(counts[i], rank)[0] == slot and spots:
-                    mid = _locate(counts[i], rank)[1] * len(spots) // inside
-                    fresh |= {spots[max(0, mid - margin)], spots[min(len(spots) - 1, mid + margin)]}
-            s.cuts = sorted(set(s.cuts) | fresh)
+        for s, slots, have in zip(searches, wide, counts):
+            if slots:
+                s.cuts = sorted({*s.cuts, *_cuts(df, s, slots, have, sample_rows, seed)})
         if known == [s.cuts for s in searches]:
             break   # nothing narrower was met; what follows is exact all the same
 
