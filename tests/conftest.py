@@ -12,7 +12,7 @@ from tidemark.session import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = session("tests", "local[8]", spark__sql__shuffle__partitions="8",
+    s = session("tests", "local[8]", spark__sql__shuffle__partitions="4",
                 spark__ui__enabled="false", spark__driver__memory="8g",
                 spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     s.sparkContext.setLogLevel("ERROR")
