@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 VALID_FROM, VALID_TO, VERSION_ID = "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"
 
@@ -14,20 +14,23 @@ def is_current() -> Column:
     return F.col(VALID_TO).isNull()
 
 
-def history_schema(rows: T.StructType) -> T.StructType:
-    extra = [(VALID_FROM, T.TimestampNTZType()), (VALID_TO, T.TimestampNTZType()),
-             (VERSION_ID, T.StringType())]
-    return T.StructType(rows.fields + [T.StructField(n, t) for n, t in extra])
+def _opened(row: str, key: str, cols: Sequence[str], now: str) -> list[str]:
+    """Columns of a new version of a row, which is given by the prefix of its columns."""
+    return [*(f"{row}{c} AS {c}" for c in cols), f"{now} AS {VALID_FROM}",
+                      f"CAST(NULL AS TIMESTAMP_NTZ) AS {VALID_TO}",
+                      f"md5(concat_ws('|', {row}{key}, {now})) AS {VERSION_ID}"]
 
 
-def advance(open_rows: DataFrame, current: DataFrame, key: str, check: Sequence[str],
+def advance(open_rows: DataFrame | None, current: DataFrame, key: str, check: Sequence[str],
             as_of: dt.datetime | str, close_vanished: bool = True) -> DataFrame:
     """Open versions against the present table: unchanged rows, closed rows and new versions.
 
-    One full outer join on the key, which is unique on both sides. A row whose checked columns
-    are all the same stays exactly as it was, its unchecked columns included.
+    One full outer join on the key, which is unique on both sides; none on the first run. A row
+    whose checked columns are all the same stays exactly as it was, its unchecked columns included.
     """
     cols, now = current.columns, f"TIMESTAMP_NTZ '{as_of}'"
+    if open_rows is None:
+        return current.selectExpr(*_opened("", key, cols, now))
     old = open_rows.selectExpr(
         f"{key} AS _old_key",
         f"struct({', '.join([*cols, VALID_FROM, VALID_TO, VERSION_ID])}) AS _old")
@@ -40,9 +43,7 @@ def advance(open_rows: DataFrame, current: DataFrame, key: str, check: Sequence[
     kept = ", ".join([*(f"_old.{c} AS {c}" for c in cols), f"_old.{VALID_FROM} AS {VALID_FROM}",
                       f"IF({closes}, {now}, NULL) AS {VALID_TO}",
                       f"_old.{VERSION_ID} AS {VERSION_ID}"])
-    opened = ", ".join([*(f"_new.{c} AS {c}" for c in cols), f"{now} AS {VALID_FROM}",
-                        f"CAST(NULL AS TIMESTAMP_NTZ) AS {VALID_TO}",
-                        f"md5(concat_ws('|', _new.{key}, {now})) AS {VERSION_ID}"])
+    opened = ", ".join(_opened("_new.", key, cols, now))
     return both.selectExpr(f"""inline(array_compact(array(
         IF(_old IS NOT NULL, struct({kept}), NULL),
         IF(_old IS NULL OR {changed}, struct({opened}), NULL))))""")
@@ -52,6 +53,6 @@ def snapshot(history: DataFrame | None, current: DataFrame, key: str, check: Seq
              as_of: dt.datetime | str, close_vanished: bool = True) -> DataFrame:
     """The history brought up to the present table. Closed versions pass through unshuffled."""
     if history is None:
-        history = current.sparkSession.createDataFrame([], history_schema(current.schema))
+        return advance(None, current, key, check, as_of)
     live = advance(history.filter(is_current()), current, key, check, as_of, close_vanished)
     return history.filter(~is_current()).unionByName(live)

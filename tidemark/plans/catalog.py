@@ -105,11 +105,11 @@ def _scd2_current(s: Star) -> DataFrame:
 
 @query("customer_order_stats")
 def _order_stats(s: Star) -> DataFrame:
-    return marts.customer_order_stats(s.fct_orders)
+    return marts.customer_order_stats(s.stg("orders"))
 
 
 def _rfm(s: Star) -> DataFrame:
-    stats = materialize(marts.customer_stats(s.fct_orders, REPORT_AT), "rfm")
+    stats = materialize(marts.customer_stats(s.stg("orders"), REPORT_AT), "rfm")
     return marts.rfm_scores(stats).filter("frequency IS NOT NULL")
 
 
@@ -129,12 +129,12 @@ def _rfm_segments(s: Star) -> DataFrame:
 
 @query("mart_revenue_net")
 def _revenue_net(s: Star) -> DataFrame:
-    return marts.mart_revenue_net(s.fct_orders, s.fct_order_items, s.dim_date)
+    return marts.mart_revenue_net(s.dated_orders, s.fct_order_items, s.dim_date)
 
 
 @query("mart_product_net")
 def _product_net(s: Star) -> DataFrame:
-    return marts.mart_product_net(s.fct_order_items)
+    return marts.mart_product_net(s.stg("order_items"))
 
 
 # ── reports ──────────────────────────────────────────────────────────────────

@@ -73,13 +73,17 @@ def _with_day(facts: DataFrame, ts: str, dates: DataFrame) -> DataFrame:
     return facts.join(_days(dates), F.expr(f"CAST({ts} AS DATE) = _day"), "left")
 
 
+def dated_orders(orders: DataFrame, dates: DataFrame) -> DataFrame:
+    """Orders with the key of their day: all that the marts need of the order facts."""
+    return _with_day(orders, "order_date", dates).drop("_day").withColumnRenamed(
+        "date_key", "order_date_key")
+
+
 def fct_orders(orders: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
     current = customers.filter("is_current").select("customer_id", "customer_key")
-    facts = orders.join(current, "customer_id", "left")
-    return _with_day(facts, "order_date", dates).selectExpr(
-        "order_id", "customer_id", "customer_key", "date_key AS order_date_key", "order_date",
-        "status", "payment_method", "shipping_city", "total_amount", "updated_at",
-        "_extracted_at")
+    return dated_orders(orders.join(current, "customer_id", "left"), dates).select(
+        "order_id", "customer_id", "customer_key", "order_date_key", "order_date", "status",
+        "payment_method", "shipping_city", "total_amount", "updated_at", "_extracted_at")
 
 
 def fct_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -93,17 +97,22 @@ def fct_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
         "_extracted_at")
 
 
+def rated_reviews(reviews: DataFrame) -> DataFrame:
+    """Reviews with their sentiment: all that the marts need of the review facts."""
+    return reviews.selectExpr("*", """
+        CASE WHEN rating >= 4.0 THEN 'positive' WHEN rating >= 3.0 THEN 'neutral'
+             ELSE 'negative' END AS sentiment""")
+
+
 def fct_reviews(reviews: DataFrame, customers: DataFrame, products: DataFrame,
                 dates: DataFrame) -> DataFrame:
     buyer = customers.filter("is_current").selectExpr(
         "customer_id", "customer_key", "full_name AS customer_name")
     product = products.filter("is_current").selectExpr(
         "product_id", "product_key", "title AS product_title", "category")
-    facts = reviews.join(buyer, "customer_id", "left").join(product, "product_id", "left")
+    facts = (rated_reviews(reviews).join(buyer, "customer_id", "left")
+             .join(product, "product_id", "left"))
     return _with_day(facts, "reviewed_at", dates).selectExpr(
         "review_id", "order_id", "product_id", "product_key", "product_title", "category",
         "customer_id", "customer_key", "customer_name", "date_key AS review_date_key",
-        "reviewed_at", "rating", "review_text",
-        """CASE WHEN rating >= 4.0 THEN 'positive' WHEN rating >= 3.0 THEN 'neutral'
-                ELSE 'negative' END AS sentiment""",
-        "_extracted_at")
+        "reviewed_at", "rating", "review_text", "sentiment", "_extracted_at")
