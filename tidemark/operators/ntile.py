@@ -105,6 +105,34 @@ def _cuts(df: DataFrame, s: _Search, slots: set[int], counts: dict[int, int], sa
     return cuts
 
 
+def _rank_ends(df: DataFrame, searches: list[_Search], counts: list[dict[int, int]]) -> None:
+    """Find the rows at the tile ends, by ranking the intervals they lie in; one job for all."""
+    places = [{t: _locate(counts[i], rank)[:2] for t, rank in s.ends.items()}
+              for i, s in enumerate(searches)]
+    parts = []
+    for i, (s, where) in enumerate(zip(searches, places)):
+        if not where:
+            continue
+        # One partition per interval, each at most `rank_rows` rows.
+        ranked = (df.select(s.place.alias(f"p{i}"), s.slot().alias("slot"))
+                  .filter(F.col("slot").isin(sorted({slot for slot, _ in where.values()})))
+                  .withColumn("r", F.row_number().over(
+                      Window.partitionBy("slot").orderBy(f"p{i}"))))
+        wanted = reduce(lambda a, b: a | b, (
+            (F.col("slot") == slot) & (F.col("r") == r) for slot, r in where.values()))
+        parts.append(ranked.filter(wanted))
+    if not parts:
+        return
+    found: list[dict[tuple[int, int], Any]] = [{} for _ in searches]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for row in union.collect():   # at most one row per tile and score
+        for i in range(len(searches)):
+            if row.asDict().get(f"p{i}") is not None:
+                found[i][(row["slot"], row["r"])] = tuple(row[f"p{i}"])
+    for s, where, spots in zip(searches, places, found):
+        s.found = {t: spots[spot] for t, spot in where.items()}
+
+
 def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
                  rank_rows: int = 2_000_000, sample_rows: int = 20_000) -> dict[str, Column]:
     """An NTILE expression per entry of `scores`, to be put on the rows of `df`.
@@ -119,8 +147,8 @@ def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles:
     searches = [_Search(p, df.select(p.alias("p")).schema["p"].dataType, tile_ends(total, tiles))
                 for p in places]
 
+    counts: list[dict[int, int]] = [{0: total} for _ in searches]
     for seed in count(1):
-        counts = _interval_counts(df, searches)
         wide = [{slot for rank in s.ends.values()
                  for slot, _, inside in [_locate(counts[i], rank)] if inside > rank_rows}
                 for i, s in enumerate(searches)]
@@ -132,20 +160,9 @@ def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles:
                 s.cuts = sorted({*s.cuts, *_cuts(df, s, slots, have, sample_rows, seed)})
         if known == [s.cuts for s in searches]:
             break   # nothing narrower was met; what follows is exact all the same
+        counts = _interval_counts(df, searches)
 
-    for i, s in enumerate(searches):
-        where = {t: _locate(counts[i], rank) for t, rank in s.ends.items()}
-        if not where:
-            continue
-        # One partition per interval, each at most `rank_rows` rows.
-        ranked = (df.select(s.place.alias("p"), s.slot().alias("slot"))
-                  .filter(F.col("slot").isin(sorted({w[0] for w in where.values()})))
-                  .withColumn("r", F.row_number().over(
-                      Window.partitionBy("slot").orderBy("p"))))
-        wanted = reduce(lambda a, b: a | b, (
-            (F.col("slot") == slot) & (F.col("r") == r) for slot, r, _ in where.values()))
-        spots = {(row["slot"], row["r"]): tuple(row["p"]) for row in ranked.filter(wanted).collect()}
-        s.found = {t: spots[(slot, r)] for t, (slot, r, _) in where.items()}
+    _rank_ends(df, searches, counts)
 
     def label(s: _Search) -> Column:
         # Tiles that would be empty (fewer rows than tiles) have no end; the rest count up.
