@@ -85,10 +85,11 @@ def test_duplicate_source_keys_are_refused(frame):
 
 def test_table_rewrites_touched_chunks_only(spark, frame):
     table = Table(spark, scratch_path(spark, "table"), key_range("id", 10))
-    assert table.read() is None and not table.exists()
+    assert table.read() is None and not table.exists() and table.mark() is None
     table.merge(frame([(1, "a", T1), (15, "b", T1), (25, "c", T1)], SCHEMA), "id")
     table.merge(frame([(15, "B", T2), (16, "d", T2)], SCHEMA), "id")
     assert rows(table.read(), "id", "v") == [(1, "a"), (15, "B"), (16, "d"), (25, "c")]
+    assert table.mark() == T2 == high_water_mark(table.read())
     versions = {f.split("/data/")[1].rsplit("/", 1)[0] for f in table.read().inputFiles()}
     assert versions == {"version=1/chunk=0", "version=2/chunk=1", "version=1/chunk=2"}
     assert rows(table.read(["1"]), "id") == [(15,), (16,)]

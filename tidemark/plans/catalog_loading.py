@@ -129,7 +129,7 @@ def _upsert_stored(s: Star) -> DataFrame:
     """The same merge through a stored table, of which only the touched chunks are rewritten."""
     table = Table(s.spark, scratch_path(s.spark, "stg_orders"), key_range("order_id", 4096))
     for day in (1, 2):
-        new = since(s.raw("orders", day), high_water_mark(table.read()))
+        new = since(s.raw("orders", day), table.mark())
         table.merge(CLEAN["orders"](new), "order_id")
     return table.read()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,11 @@ def session(app: str = "tidemark", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by `spark.checkpoint.dir`.
 
@@ -39,9 +45,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
