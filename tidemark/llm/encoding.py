@@ -1,20 +1,27 @@
 """Encoding with a public tokenizer, one call per new word instead of one per document.
 
-Both supported files cut a text at white space before they merge anything, so the ids of a text are those of its pieces, one after the other, and each piece
-needs to be encoded once. Pieces are kept in a memo of bounded size, which a Python worker keeps
-from task to task; when it is full, those met only once are forgotten. Texts in which a blank
-meets other white space, where the byte-level cut looks ahead, are given to the tokenizer whole.
+Both supported files cut a text at white space before they merge anything, so the ids of a text are
+those of its pieces, one after the other, and each piece needs to be encoded once. Pieces are kept
+in a memo of bounded size, which a Python worker keeps from task to task; when it is full, those
+met only once are forgotten. Texts in which a blank meets other white space, where the byte-level
+cut looks ahead, are given to the tokenizer whole.
+
+A new piece that is one run of Latin letters, perhaps with a full stop or comma after it, is known
+to be cut there and nowhere else; it is given to the tokenizer's merge model directly.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
 from functools import cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from tidemark.llm.common import ranges
 
 #: A blank before a byte that is, or may begin, white space of any script.
 _LOOKS_AHEAD = re.compile(rb" [\x09-\x0d\x1c-\x20\xc2\xe1-\xe3]")
@@ -26,6 +33,13 @@ def encoder(path: str, kind: str) -> Encoder:
     return Encoder(path, kind)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if printable, else one from 256 onwards."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """`kind` "word": white space is dropped; "byte": a blank belongs to the word after it.
 
@@ -36,17 +50,23 @@ class Encoder:
     def __init__(self, path: str, kind: str, most_words: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ["RAYON_NUM_THREADS"] = "1"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if kind not in ("word", "byte"):
             raise ValueError(f"unknown kind {kind}")
-        self.tokenizer = Tokenizer.from_file(path)
+        self.full, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([])
         self.special = re.compile(b"|".join(
-            re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()
+            re.escape(t.content.encode()) for t in self.full.get_added_tokens_decoder().values()
         ) or rb"(?!)")
+        self.width = np.uint16 if self.full.get_vocab_size() <= 1 << 16 else np.uint32
         self.kind, self.most_words = kind, most_words
+        self.lead = b" " if kind == "byte" else b""
+        self.letters = _byte_letters()
+        self.closing = {c: self._library([c])[0] for c in (".", ",")}
         self.memo: dict[bytes | tuple[bytes], int] = {}
-        self.flat = np.zeros(0, np.uint32)
+        self.flat = np.zeros(0, self.width)
         self.starts = self.lengths = self.met = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
@@ -55,51 +75,85 @@ class Encoder:
         if len(keep) > self.most_words // 2:
             keep = keep[:0]
         kept = set(keep.tolist())
-        words = [w for i, w in enumerate(self.memo) if i in kept]
-        self.memo = {w: i for i, w in enumerate(words)}
+        self.memo = {w: i for i, w in enumerate(
+            w for i, w in enumerate(self.memo) if i in kept)}
         n = self.lengths[keep]
-        ends = np.cumsum(n)
-        take = np.repeat(self.starts[keep] - (ends - n), n) + np.arange(int(n.sum()))
-        self.flat, self.starts, self.lengths = self.flat[take], ends - n, n
+        self.flat = self.flat[ranges(self.starts[keep], n)]
+        self.starts, self.lengths = np.cumsum(n) - n, n
         self.met = np.zeros(len(keep), np.int64)
 
-    def _whole(self, pieces: list[bytes]) -> list[list[int]]:
-        batch = [p.decode("utf-8", "replace") for p in pieces]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-
-    def _add(self, ids: list[list[int]]) -> None:
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
-        self.lengths = np.concatenate([self.lengths, n])
-        new = np.fromiter((x for one in ids for x in one), np.uint32, int(n.sum()))
-        self.flat = np.concatenate([self.flat, new])
+    def _library(self, batch: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.full.encode_batch_fast(batch, add_special_tokens=False)]
+
+    def _ids(self, pieces: list[bytes | tuple[bytes]]) -> list[list[int]]:
+        """Ids of new pieces; one in a tuple stands as it is, others follow a blank if `lead`."""
+        out: list[list[int]] = [[]] * len(pieces)
+        slow, fast, bare, ends = [], [], [], []
+        for i, piece in enumerate(pieces):
+            if isinstance(piece, tuple):
+                slow.append((i, piece[0].decode("utf-8", "replace")))
+                continue
+            word = piece.decode("utf-8", "replace")
+            stem = word[:-1] if word[-1:] in self.closing else word
+            if self.kind == "word":
+                stem = stem.lower()
+            if stem.isalpha() and max(stem) < "ɐ":
+                fast.append(i)
+                bare.append("".join(map(self.letters.__getitem__, self.lead + stem.encode())))
+                ends.append(word[-1:] if word[-1:] in self.closing else "")
+            else:
+                slow.append((i, (self.lead.decode() + word)))
+        for (i, _), ids in zip(slow, self._library([w for _, w in slow])):
+            out[i] = ids
+        encoded = self.merges.encode_batch_fast(bare, add_special_tokens=False)
+        for i, one, end in zip(fast, encoded, ends):
+            out[i] = one.ids + self.closing[end] if end else one.ids
+        return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.memo) > self.most_words:
             self._forget()
         memo, known = self.memo, len(self.memo)
-        byte = self.kind == "byte"
-        codes = array("q")
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if self.special.search(text) or byte and _LOOKS_AHEAD.search(text):
-                words = [(text,)]  # as it stands
-            elif byte:
-                first, *words = text.split(b" ")
-                words.insert(0, (first,))
+        heads: list[int] = []  # code of what stands first in a text as it is, or -1
+        tails: list[bytes | None] = []
+        for text in texts:
+            head: bytes | None = None
+            if self.special.search(text) or self.lead and _LOOKS_AHEAD.search(text):
+                head, tail = text, None
+            elif self.lead:
+                at = text.find(b" ")
+                head, tail = (text, None) if at < 0 else (text[:at], text[at + 1:])
             else:
-                words = text.split()
-            codes.extend([memo.setdefault(w, len(memo)) for w in words])
-            counts[i] = len(words)
-        lead = b" " if byte else b""
-        self._add(self._whole([w[0] if isinstance(w, tuple) else lead + w
-                               for w in islice(memo, known, None)]))
-        at = np.frombuffer(codes, np.int64)
-        self.met = np.append(self.met, np.zeros(len(memo) - known, np.int64))
-        self.met += np.bincount(at, minlength=len(memo))
-        n = self.lengths[at]
-        starts = self.starts[at]
-        ends = np.cumsum(n)
-        take = np.repeat(starts - (ends - n), n) + np.arange(int(n.sum()))
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.flat[take], np.diff(upto)
+                tail = text
+            heads.append(-1 if head is None else memo.setdefault((head,), len(memo)))
+            tails.append(tail)
+        tail = pa.array(tails, pa.large_binary())
+        if not self.lead:
+            tail = pc.ascii_lower(tail.cast(pa.large_string(), safe=False))
+        words = (pc.split_pattern(tail, " ") if self.lead
+                 else pc.ascii_split_whitespace(tail).cast(pa.large_list(pa.large_binary())))
+        counts = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+        coded = words.flatten().dictionary_encode()
+        own = np.fromiter((memo.setdefault(w, len(memo)) for w in coded.dictionary.to_pylist()),
+                          np.int64, len(coded.dictionary))
+        first = np.array(heads, np.int64)
+        counts = counts.astype(np.int64) + (first >= 0)
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        codes = np.empty(upto[-1], np.int64)
+        rest = np.ones(len(codes), bool)
+        rest[upto[:-1][first >= 0]] = False
+        codes[~rest] = first[first >= 0]
+        codes[rest] = own[coded.indices.to_numpy(zero_copy_only=False)]
+
+        new = self._ids(list(islice(memo, known, None)))
+        n = np.fromiter(map(len, new), np.int64, len(new))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
+        self.lengths = np.concatenate([self.lengths, n])
+        self.flat = np.concatenate([self.flat, np.fromiter(
+            (x for ids in new for x in ids), self.width, int(n.sum()))])
+        self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        self.met += np.bincount(codes, minlength=len(memo))
+
+        n = self.lengths[codes]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return self.flat[ranges(self.starts[codes], n)], np.diff(ends[upto])

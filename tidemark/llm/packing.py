@@ -99,10 +99,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, kind: str = "byte",
 
         for batch in batches:
             ids, counts = coder.encode(texts(batch))
-            narrow = np.uint16 if coder.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
-                own = np.append(ids[at:at + n], np.uint32(end_id)).astype(narrow)
+                own = np.append(ids[at:at + n], ids.dtype.type(end_id))
                 at += n
                 held += [(doc_id, i, s, m, own[s:s + m])
                          for i, (s, m) in enumerate(pieces(n + 1, capacity))]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, wavelet
+from tidemark.llm import packing, quality, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +35,15 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op5_toxicity")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.learnt(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_quality")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.learnt(docs, table(spark, sf_dir, "labels")))

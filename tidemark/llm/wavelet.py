@@ -174,7 +174,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, ki
                     doc_ids, lengths, held, size = [], [], [], 0
                 doc_ids.append(doc_id)
                 lengths.append(n + 1)
-                held += [ids[at:at + n], np.array([end_id], np.uint32)]
+                held += [ids[at:at + n], np.array([end_id], ids.dtype)]
                 at, size = at + n, size + n + 1
         if size:
             yield close()
