@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality, toxicity, wavelet
+from tidemark.llm import minmax, packing, quality, repeats, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +47,13 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scores(docs, quality.learnt(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_minmax_dedup")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.components(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query("op6_run_length_repeats")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"), length=400)

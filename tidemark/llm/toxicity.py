@@ -117,7 +117,7 @@ class Net:
 
 
 def fit(held: Words, y: np.ndarray, weight: np.ndarray, epochs: int = 14,
-        batch: int = 32, rate: float = 0.01, seed: int = 7, least: int = 5) -> Net:
+        batch: int = 32, rate: float = 0.02, seed: int = 7, least: int = 4) -> Net:
     """Adam on the logistic loss; an eighth of the documents is kept to calibrate the cuts on.
 
     No rows, or one class alone, gives a net that answers that class's base rate.
@@ -203,7 +203,8 @@ def fit(held: Words, y: np.ndarray, weight: np.ndarray, epochs: int = 14,
     plain = net(np.zeros(len(LANGS) + 1))
     raw, lang = (plain.raw(Words([docs[r] for r in cal], held.parts, held.lang))
                  if len(cal) else (np.zeros(0), np.zeros(0, int)))
-    whole = _cut(raw, y[cal], weight[cal])
+    enough = len(cal) and min(y[cal].sum(), (1 - y[cal]).sum()) >= 20
+    whole = _cut(raw, y[cal], weight[cal]) if enough else 0.0
     cuts = np.full(len(LANGS) + 1, whole)
     for i in range(len(LANGS)):
         own = lang == i
