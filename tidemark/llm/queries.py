@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minmax, packing, quality, repeats, toxicity, wavelet
+from tidemark.llm import backoff, minmax, orderhash, packing, quality, repeats, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,13 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_run_length_repeats")
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"), length=400)
+
+
+@query("op3_backoff_scores")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(table(spark, sf_dir, "documents"))
+
+
+@query("op8_order_minhash")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderhash.with_edits(table(spark, sf_dir, "documents"))
