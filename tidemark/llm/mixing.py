@@ -18,6 +18,8 @@ pass, with the first part pass's block order. Equal rows are mixed as rows of th
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import materialize
@@ -33,13 +35,6 @@ def source_tokens(docs: DataFrame) -> DataFrame:
                                       F.count("*").alias("n_docs"))
 
 
-def _weights(shares: DataFrame, exponent: float) -> DataFrame:
-    power = F.when(F.col("share") > 0, F.pow("share", F.lit(exponent))).otherwise(0.0)
-    total = shares.agg(F.sum(power).alias("sum"))
-    return shares.crossJoin(F.broadcast(total)).select(
-        "source", "tokens", "share", (power / F.col("sum")).alias("weight"))
-
-
 def exponent(shares: DataFrame, entropy: float | None, repeats: float | None,
              budget: float) -> float:
     """Bisection on sums over the table of sources: one number comes back per step."""
@@ -55,7 +50,6 @@ def exponent(shares: DataFrame, entropy: float | None, repeats: float | None,
         if not got["n"]:
             return True
         if entropy is not None:
-            import math
             return math.log(got["s"]) - e * got["t"] / got["s"] >= entropy * math.log(got["n"])
         return budget * got["r"] / got["s"] <= repeats
 
@@ -95,17 +89,17 @@ def mixed(docs: DataFrame, entropy: float | None = None, repeats: float | None =
         _number(key, ":block").alias("b"), _number(key, ":document").alias("h"),
         F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("tie")), "mixing")
     sums = source_tokens(base)
-    whole = F.broadcast(sums.agg(F.sum("tokens").alias("all")))
-    shares = materialize(sums.crossJoin(whole).select(
-        "source", "tokens", "n_docs", (F.col("tokens") / F.greatest("all", F.lit(1))).alias("share"),
-        "all"), "shares")
+    whole = sums.agg(F.sum("tokens")).first()[0] or 0
+    shares = materialize(sums.withColumn("share", F.col("tokens") / F.lit(float(max(whole, 1)))),
+                         "shares")
     e = exponent(shares, entropy, repeats, budget)
-    live = F.col("share") > 0
-    total = shares.agg(F.sum(F.when(live, F.pow("share", F.lit(e)))).alias("s"))
-    quota = shares.crossJoin(F.broadcast(total)).select(
-        "source", "tokens", F.when(live, F.pow("share", F.lit(e)) / F.col("s")).otherwise(0.0)
-        .alias("weight"), "all", F.least(F.lit(BLOCKS), F.ceil(F.col("n_docs") / 64)).alias("blocks"))
-    asked = F.floor(F.col("weight") * F.lit(float(budget)) * F.col("all")).cast("long")
+    power = F.when(F.col("share") > 0, F.pow("share", F.lit(e))).otherwise(0.0)
+    total = shares.agg(F.sum(power)).first()[0] or 1.0
+    quota = shares.select(
+        "source", "tokens", (power / F.lit(total)).alias("weight"),
+        F.least(F.lit(BLOCKS), F.ceil(F.col("n_docs") / 64)).alias("blocks"))
+    # a millionth of a token more, so that rounding never costs a source its last document
+    asked = F.floor(F.col("weight") * F.lit(float(budget)) * F.lit(whole) + 1e-6).cast("long")
     passes = F.when(F.col("tokens") > 0, F.floor(asked / F.col("tokens"))).otherwise(1)
     quota = materialize(quota.select(
         "source", "weight", "blocks", passes.cast("long").alias("passes"),
@@ -141,3 +135,17 @@ def mixed(docs: DataFrame, entropy: float | None = None, repeats: float | None =
     out = part.unionByName(rest.drop("tie"))
     return out.select("doc_id", "source", "n_tokens", "weight",
                       (F.col("passes") + F.col("extra")).alias("copies"))
+
+
+def remixed(docs: DataFrame, **target: float) -> DataFrame:
+    """The rows of `docs`, all columns, each as often as it is in the mix.
+
+    Rows that agree in doc_id and source are taken as often as the one of them taken most.
+    """
+    copies = mixed(docs, **target).filter("copies > 0").groupBy("doc_id", "source").agg(
+        F.max("copies").alias("__copies")).select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__copies")
+    held = docs.join(copies, F.expr(
+        "CAST(doc_id AS LONG) <=> __id AND CAST(source AS STRING) <=> __source"))
+    return held.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop(
+        "__id", "__source", "__copies", "__n")

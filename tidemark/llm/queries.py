@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import backoff, minmax, orderhash, packing, quality, repeats, toxicity, wavelet
+from tidemark.llm import backoff, forest, minmax, mixing, orderhash, packing, quality, repeats, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,3 +67,17 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_order_minhash")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderhash.with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op7_prefix_forest")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
+#: A share of the greatest possible entropy; as many tokens as there are.
+MIX = {"entropy": 0.97, "budget": 1.0}
+
+
+@query("op9_temperature_mixing")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), **MIX)
