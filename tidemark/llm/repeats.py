@@ -9,12 +9,10 @@ document or another. Strings never cross documents and are judged on the input.
 2. Counting. Anchors met once are dropped. If all contexts of an anchor are equal, all of their
    windows are repeats. The others are *mixed*.
 3. Indexing. Of each mixed anchor the distinct contexts are brought together, many anchors to an
-   index. An index is the run-compressed Burrows-Wheeler transform of these contexts: the first
-   and last row of each run with its text position. A suffix's match with its neighbour in sorted
-   order shrinks by one from position to position, except at run borders, so matching statistics
-   of the whole text are streamed from the samples at run borders alone. A mark that is the
-   anchor's own stands before the anchor in each context, so a match always is one of two
-   different places in the corpus.
+   index. An index is a run-compressed Burrows-Wheeler transform of the contexts, aligned at their
+   anchors. Matching statistics are streamed through it from right to left: in a run the match of
+   neighbours grows by one, and only at run ends it is sampled. Two contexts are two different
+   places in the corpus, and so are their windows at equal distances from the anchor.
 4. Cutting. Repeated ranges go back to their documents.
 
 An anchor with more distinct contexts than `most_contexts` (a short common passage in ever new
@@ -31,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import mix, ranges, signed, texts, two
@@ -126,11 +125,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return two(docs).withColumn("doc", F.xxhash64("doc_id", "text"))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """With the text compressed, for a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield batch.set_column(1, "text", pa.array(
+                [pack.compress(t) for t in texts(batch)], pa.binary()))
+
+    held = _keyed(docs)
+    return held.mapInArrow(run, held.schema)
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor()
+    return [unpack.decompress(t) for t in texts(batch)]
+
+
 def contexts(docs: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
     """Bytes of mixed contexts: anchor, context, before (bytes before the anchor), data."""
     by_doc = mixed.groupBy("doc_id", "doc").agg(
         F.collect_list(F.struct("pos", "anchor", "context")).alias("hits"))
-    held = _keyed(docs).alias("d").join(by_doc.alias("m"), F.expr(
+    held = _packed(docs).alias("d").join(by_doc.alias("m"), F.expr(
         "d.doc_id <=> m.doc_id AND d.doc = m.doc")).select("text", "hits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +155,7 @@ def contexts(docs: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
             n = np.asarray(hits.value_lengths())
             flat = hits.flatten()
             pos = np.asarray(flat.field("pos")).tolist()
-            held = texts(batch)
+            held = _unpacked(batch)
             rows = np.repeat(np.arange(len(n)), n).tolist()
             lo = [max(0, p - length + K) for p in pos]
             yield pa.RecordBatch.from_arrays(
@@ -152,113 +168,85 @@ def contexts(docs: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
 
 
 class RunLengthIndex:
-    """Run-compressed Burrows-Wheeler transform of a text of integers (0 ends each part).
-
-    `heads` and `tails` are the text positions of the suffixes at the first and last row of each
-    run, `head_match` and `tail_match` how far these agree with the suffix in the row before and
-    after. `symbols` and `counts` are the runs themselves.
+    """Burrows-Wheeler transform of texts that are aligned at their anchors, in runs.
+
+    Suffixes matter only against those that begin at the same place of another context of the same
+    anchor, so the transform is kept column by column, from the right: `order` has the contexts
+    sorted by anchor and then by what stands from the column on, and the column to the left of it,
+    read in that order, falls into runs of equal symbols. Inside a run, neighbours stay neighbours
+    and their match grows by one. Only at the ends of runs new neighbours meet, and their match is
+    sampled from the texts.
     """
 
-    def __init__(self, text: np.ndarray) -> None:
-        self.n = len(text)
-        order = suffix_order(text)
-        last = np.where(order > 0, text[order - 1], -1)  # so position 0 is a run of its own
-        border = np.flatnonzero(last[1:] != last[:-1]) + 1
-        first = np.concatenate([[0], border])
-        final = np.concatenate([border - 1, [self.n - 1]])
-        self.symbols, self.counts = last[first], np.diff(np.append(first, self.n))
-        self.heads, self.tails = order[first], order[final]
-        self.head_match = agreement(text, order[first[1:]], order[first[1:] - 1])
-        self.head_match = np.concatenate([[0], self.head_match])
-        self.tail_match = agreement(text, order[final[:-1]], order[final[:-1] + 1])
-        self.tail_match = np.concatenate([self.tail_match, [0]])
-
-    def _stream(self, at: np.ndarray, match: np.ndarray) -> np.ndarray:
-        order = np.argsort(at)
-        at, match = at[order], match[order]
-        stop = np.append(at[1:], self.n)
-        n = stop - at
-        out = np.zeros(self.n, np.int64)
-        out[at[0]:] = np.repeat(match + at, n) - np.arange(at[0], self.n)
+    def __init__(self, anchor: np.ndarray, columns: np.ndarray) -> None:
+        """`columns`: a row of symbols per column of the texts, a context per place in it."""
+        self.columns = columns
+        self.rows = np.ascontiguousarray(columns.T)
+        self.order = np.argsort(anchor, kind="stable")
+        self.group = anchor[self.order].astype(np.uint16 if anchor.max() < 1 << 16 else np.int64)
+        self.match = np.zeros(len(anchor), np.int32)  # with the context before in order
+        self.at = len(columns)
+        self.runs = 0
+
+    def step(self) -> None:
+        """Move one column to the left."""
+        self.at -= 1
+        symbol = self.columns[self.at][self.order]
+        by = np.argsort(symbol, kind="stable")
+        by = by[np.argsort(self.group[by], kind="stable")]
+        symbol, order = symbol[by], self.order[by]
+        match = np.zeros(len(by), np.int32)
+        same = (symbol[1:] == symbol[:-1]) & (self.group[1:] == self.group[:-1])
+        inside = same & (by[1:] == by[:-1] + 1)
+        match[1:][inside] = self.match[by[1:][inside]] + 1
+        ends = np.flatnonzero(same & ~inside) + 1
+        match[ends] = self._sample(order[ends - 1], order[ends])
+        self.runs += len(by) - int(inside.sum())
+        self.order, self.match = order, match
+
+    def _sample(self, a: np.ndarray, b: np.ndarray, part: int = 16) -> np.ndarray:
+        """How far contexts a and b agree from the column on."""
+        out, live, at = np.zeros(len(a), np.int32), np.arange(len(a)), self.at
+        while len(live) and at < len(self.columns):
+            x, y = self.rows[a[live], at:at + part], self.rows[b[live], at:at + part]
+            same = x == y
+            step = np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
+            out[live] += step.astype(np.int32)
+            live, at = live[step == part], at + part
         return out
 
-    def matching_statistics(self) -> np.ndarray:
-        """For each position, the length of the longest match that starts elsewhere.
-
-        Between two samples the match with a neighbour is the sample's, less one a step.
-        """
-        return np.maximum(self._stream(self.heads, self.head_match),
-                          self._stream(self.tails, self.tail_match))
-
-
-def agreement(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many symbols from a and from b on are equal."""
-    n, out, live = len(text), np.zeros(len(a), np.int64), np.arange(len(a))
-    padded = np.append(text, [-1] * 16)
-    while len(live):
-        x, y = a[live] + out[live], b[live] + out[live]
-        part = np.arange(16)
-        same = padded[np.minimum(x, n)[:, None] + part] == padded[np.minimum(y, n)[:, None] + part]
-        same &= (x[:, None] + part < n) & (y[:, None] + part < n)
-        step = np.where(same.all(axis=1), 16, same.argmin(axis=1))
-        out[live] += step
-        live = live[step == 16]
-    return out
-
-
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """The suffixes in sorted order, by doubling; only those still tied are sorted again."""
-    n = len(text)
-    rank = text.astype(np.int64)
-    at = 1
-    order = np.argsort(rank, kind="stable")
-    open_ = None
-    while True:
-        if open_ is None:
-            sorted_ = rank[order]
-            new = np.concatenate([[0], (sorted_[1:] != sorted_[:-1])]).cumsum()
-            first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]]))
-            rank = np.empty(n, np.int64)
-            rank[order] = first[new]  # a group's rank is its first row
-            size = np.diff(np.append(first, n))
-            open_ = np.flatnonzero(np.repeat(size > 1, size))
-        if not len(open_):
-            return order
-        suffix = order[open_]
-        after = suffix + at
-        second = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        group = rank[suffix]
-        by = np.argsort(group * (n + 1) + second, kind="stable")
-        suffix, group, second = suffix[by], group[by], second[by]
-        order[open_] = suffix
-        start = np.concatenate([[True], (group[1:] != group[:-1]) | (second[1:] != second[:-1])])
-        rows = np.flatnonzero(start)
-        rank[suffix] = open_[rows][np.cumsum(start) - 1]
-        size = np.diff(np.append(rows, len(open_)))
-        open_ = open_[np.repeat(size > 1, size)]
-        at *= 2
+    def statistics(self) -> np.ndarray:
+        """For each context, its longest match with another of its anchor from the column on."""
+        best = np.maximum(self.match, np.append(self.match[1:], 0))
+        out = np.empty(len(best), np.int32)
+        out[self.order] = best
+        return out
 
 
 def marked(anchor: np.ndarray, before: np.ndarray, data: list[bytes], length: int
            ) -> tuple[np.ndarray, np.ndarray]:
     """Context number and place before the anchor of each window that is met in another context."""
-    marks = np.unique(anchor, return_inverse=True)[1] + 257
+    reach = length - K
     n = np.fromiter(map(len, data), np.int64, len(data))
-    size = n + 2  # the anchor's mark, and an end
-    starts = np.cumsum(size) - size
-    text = np.zeros(int(size.sum()), np.int64)
-    flat = np.frombuffer(b"".join(data), np.uint8).astype(np.int64) + 1
-    within = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-    shift = within >= np.repeat(before, n)
-    text[np.repeat(starts, n) + within + shift] = flat
-    text[starts + before] = marks
-    match = RunLengthIndex(text).matching_statistics()
-    # windows start up to the mark and end in the context
-    most = np.minimum(before, n - length)
-    row = np.repeat(np.arange(len(n)), most + 1)
-    place = ranges(np.zeros(len(n), np.int64), most + 1)
-    good = match[starts[row] + place] >= length + 1
-    return row[good], place[good] - before[row[good]]
+    texts = np.full((len(data), length + reach), 256, np.uint16)  # 256: outside the document
+    row = np.repeat(np.arange(len(n)), n)
+    within = ranges(reach - before, n)
+    texts[row, within] = np.frombuffer(b"".join(data), np.uint8)
+    index = RunLengthIndex(np.unique(anchor, return_inverse=True)[1],
+                           np.ascontiguousarray(texts.T))
+    rows, places = [], []
+    while index.at:
+        index.step()
+        place = index.at - reach  # windows begin at the anchor or before it
+        if place <= 0:
+            good = (index.statistics() >= length) & (place >= -before) & (
+                place + length <= n - before)
+            hit = np.flatnonzero(good)
+            rows.append(hit)
+            places.append(np.full(len(hit), place))
+    row, place = np.concatenate(rows), np.concatenate(places)
+    by = np.lexsort((place, row))
+    return row[by], place[by]
 
 
 def _runs(row: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -367,14 +355,14 @@ def _kept(text: bytes, starts: np.ndarray, stops: np.ndarray) -> bytes:
 def cut(docs: DataFrame, length: int = 400, **sizes: int) -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, n_spans; a row for each row of `docs`."""
     spans = repeated(docs, length, **sizes)
-    held = _keyed(docs).alias("d").join(spans.alias("s"), F.expr(
+    held = _packed(docs).alias("d").join(spans.alias("s"), F.expr(
         "d.doc_id <=> s.doc_id AND d.doc = s.doc"), "left").select("d.doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n, removed, runs = [], [], [], []
             spans = batch.column("spans")
-            for i, text in enumerate(texts(batch)):
+            for i, text in enumerate(_unpacked(batch)):
                 own = spans[i].values
                 pairs = None if own is None else np.stack(
                     [np.asarray(own.field(c)).astype(np.int64) for c in ("lo", "hi")], axis=1)
