@@ -26,6 +26,13 @@ def texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").to_pylist()
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64, on whole arrays of unsigned 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -12,9 +12,11 @@ in a group of copies is the least edited. Leaders multiply by eight each round u
 holds members of two components that have not been compared, so no link among candidates that
 could join components is left out, and groups of mutual copies cost a comparison each.
 
-From the second round on, shingles that no other remaining class has are counted. With x and y
-of these, sets of m and n can share no more than min(m - x, n - y), which settles most
-pairs of much edited copies without a comparison.
+After the first round, what is left falls into clusters that buckets hold together. A cluster
+within stated bounds is settled in one task, where postings give all its intersections and only
+links between components leave. For larger clusters the rounds go on, spread over all tasks; there,
+shingles that no other remaining class has are counted first: with x and y of these, sets of m and
+n can share no more than min(m - x, n - y), which settles many pairs without a comparison.
 
 With 20 bands of 5 values a pair at the threshold of 0.85 is missed with a probability of 8e-6.
 Classes are numbered by 64 bits of a 128-bit digest of the set.
@@ -31,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import mix, signed, slices, texts, two
+from tidemark.llm.common import mix, ranges, signed, slices, texts, two
 from tidemark.session import materialize
 
 BANDS, ROWS = 20, 5
@@ -219,6 +221,73 @@ def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
     return once.groupBy("node").agg(F.count("*").cast("int").alias("own"))
 
 
+def local_links(comp: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between components, at least as many as join what the links of all pairs join.
+
+    Members of the largest component are only met by the others.
+    """
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    by = np.argsort(code, kind="stable")
+    posted, ends = owner[by], np.cumsum(np.bincount(code, minlength=len(values)))
+    starts = np.cumsum(n) - n
+    kinds, label = np.unique(comp, return_inverse=True)
+    largest = np.bincount(label).argmax()
+    root = list(range(len(kinds)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    begin = ends - np.diff(ends, prepend=0)
+    for i in np.flatnonzero(label != largest):
+        own = code[starts[i]:starts[i] + n[i]]
+        met = posted[ranges(begin[own], ends[own] - begin[own])]
+        both = np.bincount(met, minlength=len(sets))
+        near = np.flatnonzero(100 * both >= percent * (n + n[i] - both))
+        for j in near:
+            a, b = find(label[i]), find(label[j])
+            if a != b:
+                root[a] = b
+                out.append((int(kinds[label[i]]), int(kinds[label[j]])))
+    return out
+
+
+def _clusters(members: DataFrame) -> DataFrame:
+    """node, cluster: classes that mixed buckets hold together, by way of each bucket's least."""
+    least = members.groupBy("key").agg(F.min("node").alias("b"))
+    edges = members.join(least, "key").select(F.col("node").alias("a"), "b").distinct()
+    # components found so far hold together too
+    first = members.groupBy("comp").agg(F.min("node").alias("b"))
+    edges = edges.unionAll(members.join(first, "comp").select(F.col("node").alias("a"), "b")
+                           .distinct())
+    return contracted(edges).withColumnRenamed("root", "cluster")
+
+
+def _settled(members: DataFrame, sets: DataFrame, percent: int, classes: int, shingles: int
+             ) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of components within small clusters, and the members of all others."""
+    nodes = members.select("node", "n", "comp").distinct().join(_clusters(members), "node")
+    nodes = materialize(nodes, "clustered")
+    small = nodes.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter(
+        (F.col("c") <= classes) & (F.col("s") <= shingles)).select("cluster")
+    inside = materialize(nodes.join(small, "cluster", "left_semi"), "inside")
+
+    def run(group: pa.Table) -> pa.Table:
+        held = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
+        found = local_links(group.column("comp").to_numpy(), held, percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
+                         "b": pa.array([b for _, b in found], pa.int64())})
+
+    links = inside.join(sets, "node").select("cluster", "comp", "shingles").groupBy(
+        "cluster").applyInArrow(run, "a long, b long")
+    return links, members.join(inside, "node", "left_anti")
+
+
 def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; a row for each row of `docs`.
 
@@ -266,6 +335,10 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
                 .select("key", "node", "n", "own", "company",
                         F.coalesce("root", "comp").alias("comp")))
         members = materialize(_shared(rest), "members")
+        if not turn and not members.isEmpty():
+            links, members = _settled(members, sets, percent, 4096, 1 << 22)
+            moves.append(contracted(links).select(F.col("node").alias("comp"), "root"))
+            members = materialize(members, "members")
         if not turn and not members.isEmpty():
             # leaders of one bucket can be members of another, so these counts hold for all left
             own = _unshared(members, sets)

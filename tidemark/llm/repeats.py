@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mix, ranges, signed, texts, two
+from tidemark.llm.common import mix, portions, ranges, signed, texts, two
 from tidemark.session import materialize
 
 K = 128  # bytes of an anchor
@@ -105,7 +105,7 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, doc (hash of id and text), pos, anchor, context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [anchors(t, length) for t in texts(batch)]
             n = [len(f[0]) for f in found]
             if not sum(n):
@@ -129,7 +129,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     """With the text compressed, for a shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in portions(batches):
             yield batch.set_column(1, "text", pa.array(
                 [pack.compress(t) for t in texts(batch)], pa.binary()))
 
@@ -150,7 +150,7 @@ def contexts(docs: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
         "d.doc_id <=> m.doc_id AND d.doc = m.doc")).select("text", "hits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             hits = batch.column("hits")
             n = np.asarray(hits.value_lengths())
             flat = hits.flatten()
@@ -277,7 +277,7 @@ def counted(held: DataFrame, length: int) -> DataFrame:
     letter = _rng.permutation(_LETTER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             anchor, context = (batch.column(c).to_numpy() for c in ("anchor", "context"))
             for i, (before, data) in enumerate(zip(batch.column("before").to_pylist(),
                                                    batch.column("data").to_pylist())):
@@ -359,7 +359,7 @@ def cut(docs: DataFrame, length: int = 400, **sizes: int) -> DataFrame:
         "d.doc_id <=> s.doc_id AND d.doc = s.doc"), "left").select("d.doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             kept, n, removed, runs = [], [], [], []
             spans = batch.column("spans")
             for i, text in enumerate(_unpacked(batch)):
@@ -401,7 +401,7 @@ def without_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             spans = batch.column(batch.num_columns - 1)
             for i, text in enumerate(batch.column(at).to_pylist()):
