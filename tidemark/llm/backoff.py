@@ -24,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import fold, mix, texts, two
+from tidemark.llm.common import fold, mix, portions, texts, two
 from tidemark.session import materialize
 
 END, START = np.uint64(1), np.uint64(2)  # no word hashes to these in practice
@@ -123,7 +123,7 @@ def scores(docs: DataFrame, prior: float = PRIOR, shard_bytes: int = 12 << 20) -
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in portions(batches, 1024):
             packed = pa.array([pack.compress(t) for t in texts(batch)], pa.binary())
             yield batch.set_column(3, "text", packed)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import mix, ranges, signed, slices, texts, two
+from tidemark.llm.common import mix, portions, ranges, signed, slices, texts, two
 from tidemark.session import materialize
 
 BANDS, ROWS = 20, 5
@@ -105,7 +105,7 @@ def bands(values: np.ndarray) -> np.ndarray:
 def signed_docs(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, node and node2 (the digest; null without shingles), keys (of bands)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             sets = [shingles(t, width) for t in texts(batch)]
             full = [s for s in sets if len(s)]
             keys = iter(signed(bands(signatures(full))).tolist() if full else [])
@@ -124,7 +124,7 @@ def signed_docs(docs: DataFrame, width: int) -> DataFrame:
 def stored_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """The full sets (sorted 64-bit hashes) of the classes `wanted` (node, rep)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             sets = [shingles(t, width) for t in texts(batch)]
             nodes = signed(digests(sets)[0])
             # two rows can share an id: only the one whose set it is counts
@@ -140,7 +140,7 @@ def stored_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -205,7 +205,7 @@ def _possible(n: str, own: str, m: str, other: str, percent: int) -> Column:
 def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, own: how many of the shingles of each remaining class no other one has."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             held = [np.frombuffer(s, np.int64) for s in batch.column("shingles").to_pylist()]
             n = [len(s) for s in held]
             for a, b in slices(np.array(n, np.int64), 1 << 18):

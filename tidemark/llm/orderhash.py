@@ -22,7 +22,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import mix, slices, two
+from tidemark.llm.common import mix, portions, slices, two
 from tidemark.session import materialize
 
 K, ORDER, TUPLES = 3, 2, 64
@@ -153,7 +153,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         last, head = None, None
-        for batch in batches:
+        for batch in portions(batches, 1024):
             ids = batch.column("doc_id").to_pylist()
             own = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             if not ids:
@@ -184,7 +184,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
         F.lead("head").over(by), F.first("head").over(everywhere)).alias("head"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             own, after = batch.column("own").to_pylist(), batch.column("head").to_pylist()
             if not own:
                 continue

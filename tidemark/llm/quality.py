@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import fold, texts, two
+from tidemark.llm.common import fold, portions, texts, two
 from tidemark.llm.labelled import sample
 
 _KINDS = np.zeros(256, np.int64)  # of a byte: other, lower, upper, digit, white, punctuation, high
@@ -145,7 +145,7 @@ def scores(docs: DataFrame, model: Trees, cut: float = 0.3) -> DataFrame:
     text. Nothing but the text enters the score.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             x = [statistics(t) for t in texts(batch)]
             s = model.score(np.array(x)) if x else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s)],
@@ -162,7 +162,7 @@ def keep_good(docs: DataFrame, model: Trees, cut: float = 0.3) -> DataFrame:
     at = next(i for i, f in enumerate(schema.fields) if f.name == "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1024):
             x = [statistics((t or "").encode()) for t in batch.column(at).to_pylist()]
             if x:
                 yield batch.filter(pa.array(model.score(np.array(x)) >= cut))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import fold, texts, two
+from tidemark.llm.common import fold, portions, texts, two
 from tidemark.llm.labelled import sample
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 8, 12, (1, 2, 3)
@@ -250,11 +250,11 @@ def scores(docs: DataFrame, net: Net) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in portions(batches, 512):
             held = texts(batch)
-            s = [model.score(held[i:i + 500]) for i in range(0, len(held), 500)]
+            s = model.score(held) if held else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(s) if s else np.zeros(0))],
+                [batch.column("doc_id"), pa.array(s)],
                 ["doc_id", "score"])
 
     found = two(docs).mapInArrow(run, "doc_id long, score double")

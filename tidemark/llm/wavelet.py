@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import texts, two
+from tidemark.llm.common import portions, texts, two
 from tidemark.llm.encoding import encoder
 from tidemark.session import scratch_path
 
@@ -164,7 +164,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, ki
                 "lengths": pa.array([lengths], pa.list_(pa.int64())),
                 "planes": pa.array([WaveletMatrix.of(ids).to_bytes()], pa.binary())})
 
-        for batch in batches:
+        for batch in portions(batches, 2048):
             ids, counts = coder.encode(texts(batch))
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
