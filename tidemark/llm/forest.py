@@ -60,7 +60,7 @@ def planes(dim: int, trees: int, seed: int) -> np.ndarray:
 
 def strings(v: np.ndarray, more: np.ndarray, sides: np.ndarray) -> np.ndarray:
     """Bit strings as integers, a column per tree. `more`: the component that evens the norms."""
-    bits = (np.column_stack([v, more]) @ sides > 0).reshape(len(v), -1, BITS)
+    bits = (np.column_stack([v, more]) @ sides > 0).reshape(len(v), sides.shape[1] // BITS, BITS)
     weight = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
     return bits @ weight
 
