@@ -32,7 +32,7 @@ def test_money_does_not_depend_on_order(frame):
     values = [(0.1,), (0.2,), (1e9,), (-1e9,), (0.3,)]
     sums = {frame(v, "a double").select(F.sum(money("a"))).first()[0]
             for v in (values, values[::-1])}
-    assert [str(s) for s in sums] == ["0.60"]
+    assert [str(s) for s in sums] == ["0.60000000"]
 
 
 def test_per_rounds_half_up_and_knows_no_zero_division(frame):

@@ -1,4 +1,8 @@
-"""Exact money. Doubles add up differently in every order of rows; decimals do not."""
+"""Exact money. Doubles add up differently in every order of rows; decimals do not.
+
+Amounts keep eight decimals; results are rounded where a result is defined as rounded, and never
+what goes into it. An amount beyond twenty digits is null, not the end of the job.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +11,17 @@ from pyspark.sql import Column, functions as F
 
 def MONEY(name: str) -> str:  # noqa: N802
     """`money` as SQL text."""
-    return f"CAST({name} AS DECIMAL(18,2))"
+    return f"TRY_CAST({name} AS DECIMAL(28,8))"
 
 
 def money(col: Column | str) -> Column:
-    """A stored double as an amount of cents, so that sums do not depend on row order."""
-    return F.col(col).cast("decimal(18,2)") if isinstance(col, str) else col.cast("decimal(18,2)")
+    """A stored double as an exact amount, so that sums do not depend on row order."""
+    return (F.col(col) if isinstance(col, str) else col).try_cast("decimal(28,8)")
 
 
 def units(col: Column | str) -> Column:
     """A quantity or count as an exact factor of an amount."""
-    return (F.col(col) if isinstance(col, str) else col).cast("decimal(12,0)")
+    return (F.col(col) if isinstance(col, str) else col).cast("decimal(20,0)")
 
 
 def plain(col: Column) -> Column:
@@ -31,4 +35,4 @@ def per(amount: Column, count: Column) -> Column:
     The types leave 16 decimals to the quotient, enough for no tie to be rounded twice.
     """
     return F.round(
-        amount.cast("decimal(28,6)") / F.nullif(count.cast("decimal(12,0)"), F.lit(0)), 2)
+        amount.cast("decimal(28,6)") / F.nullif(count.cast("decimal(20,0)"), F.lit(0)), 2)

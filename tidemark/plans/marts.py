@@ -29,7 +29,7 @@ def _mean(total: Column, count: Column) -> Column:
 
 
 def _calendar(dates: DataFrame) -> DataFrame:
-    return F.broadcast(dates)   # 366 rows a year
+    return dates   # adaptive execution broadcasts it where it proves small
 
 
 # ── revenue ──────────────────────────────────────────────────────────────────
@@ -102,7 +102,7 @@ def mart_product_performance(products: DataFrame, items: DataFrame,
     times = units(F.greatest(F.coalesce(F.col("total_reviews"), F.lit(0)), F.lit(1)))
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     revenue = F.col("_revenue") * times
-    sold = F.col("_units").cast("decimal(18,0)")
+    sold = units("_units")
     profit = (F.col("_revenue") - money("cost_price") * sold) * times
     return (
         products.filter("is_current")

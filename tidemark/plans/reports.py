@@ -90,7 +90,8 @@ def price_delta(items: DataFrame, dim_products: DataFrame, n: int | None = 20) -
     now = dim_products.filter("is_current").select("product_id", F.col("price").alias("price_today"))
     return lines.join(now, "product_id", "left").select(
         "order_item_id", "order_id", "product_id", "price_at_order_time", "price_today",
-        plain(money("price_today") - money("price_at_order_time")).alias("price_difference"))
+        plain(F.round(money("price_today") - money("price_at_order_time"), 2))
+        .alias("price_difference"))
 
 
 def segment_revenue(customers: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def products(raw: DataFrame) -> DataFrame:
     return rows.selectExpr(
         "product_id", "trim(title) AS title", "lower(trim(category)) AS category", "price",
         "cost_price", "IF(stock_quantity < 0, 0, stock_quantity) AS stock_quantity", "rating",
-        "review_count", f"CAST({MONEY('price')} - {MONEY('cost_price')} AS DOUBLE) AS gross_margin",
+        "review_count", f"CAST(round({MONEY('price')} - {MONEY('cost_price')}, 2) AS DOUBLE) AS gross_margin",
         "updated_at", "_extracted_at")
 
 
@@ -53,7 +53,7 @@ def order_items(raw: DataFrame) -> DataFrame:
         "order_item_id")
     return rows.selectExpr(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total",
-        f"CAST({MONEY('unit_price')} * quantity AS DOUBLE) AS calculated_line_total",
+        f"CAST(round({MONEY('unit_price')} * quantity, 2) AS DOUBLE) AS calculated_line_total",
         "_extracted_at")
 
 

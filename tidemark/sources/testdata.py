@@ -79,7 +79,7 @@ def products_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS product_id", "' ' || p_name AS title", "p_type AS category",
         f"CAST({now} AS DOUBLE) AS price",
-        f"CAST(round({price} * 0.6BD, 2) AS DOUBLE) AS cost_price",
+        f"CAST({price} * 0.6BD AS DOUBLE) AS cost_price",
         f"{stock} AS stock_quantity", "CAST(p_partkey % 41 + 10 AS DOUBLE) / 10D AS rating",
         "CAST(p_size AS BIGINT) AS review_count",
         "TIMESTAMP_NTZ '2025-12-31 00:00:00' AS updated_at", f"{_at(day)} AS _extracted_at")
@@ -106,13 +106,16 @@ def orders_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines carry their ship date as extraction time; many ids occur more than once."""
+    """Lines carry their ship date as extraction time; many ids occur more than once.
+
+    Prices have three decimals, so that it shows where a result is rounded.
+    """
+    price = "(CAST(l_extendedprice AS DECIMAL(18,2)) + 0.005BD)"
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey * 8 + l_linenumber AS order_item_id", "l_orderkey AS order_id",
         "l_partkey AS product_id", "CAST(l_quantity AS BIGINT) AS quantity",
-        "l_extendedprice AS unit_price",
-        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INT) AS DOUBLE) "
-        "AS line_total", "l_shipdate AS _extracted_at")
+        f"CAST({price} AS DOUBLE) AS unit_price",
+        f"CAST({price} * CAST(l_quantity AS INT) AS DOUBLE) AS line_total", "l_shipdate AS _extracted_at")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
