@@ -301,7 +301,7 @@ def repeated(docs: DataFrame, length: int = 400, most_contexts: int = 5000,
 
     Documents without repeats have no row.
     """
-    found = materialize(occurrences(docs, length), "anchors")
+    found = occurrences(docs, length)  # worked out twice, which takes less than keeping it
     many = materialize(
         found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("least"),
                                     F.max("context").alias("greatest"))
@@ -326,10 +326,13 @@ def repeated(docs: DataFrame, length: int = 400, most_contexts: int = 5000,
 
     whole = F.array(F.struct(F.lit(K - length).alias("lo"), F.lit(length).alias("hi")))
     simple = hits.filter("NOT mixed").select("doc_id", "doc", "pos", whole.alias("parts"))
-    copies = (mixed.join(kinds.filter("n > 1"), ["anchor", "context"], "left_semi")
-              .select("doc_id", "doc", "pos", whole.alias("parts")))
-    others = mixed.join(matched, ["anchor", "context"]).select("doc_id", "doc", "pos", "parts")
-    placed = simple.unionAll(copies).unionAll(others).select(
+    # a context met twice repeats as a whole
+    places = (kinds.select("anchor", "context", "n").join(matched, ["anchor", "context"], "left")
+              .select("anchor", "context",
+                      F.when(F.col("n") > 1, whole).otherwise(F.col("parts")).alias("parts"))
+              .filter("parts IS NOT NULL"))
+    others = mixed.join(places, ["anchor", "context"]).select("doc_id", "doc", "pos", "parts")
+    placed = simple.unionAll(others).select(
         "doc_id", "doc", F.transform("parts", lambda p: F.struct(
             F.greatest(p["lo"] + F.col("pos"), F.lit(0)).alias("lo"),
             (p["hi"] + F.col("pos")).alias("hi"))).alias("parts"))
