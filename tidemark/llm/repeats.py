@@ -326,13 +326,12 @@ def repeated(docs: DataFrame, length: int = 400, most_contexts: int = 5000,
 
     whole = F.array(F.struct(F.lit(K - length).alias("lo"), F.lit(length).alias("hi")))
     simple = hits.filter("NOT mixed").select("doc_id", "doc", "pos", whole.alias("parts"))
-    # a context met twice repeats as a whole
-    places = (kinds.select("anchor", "context", "n").join(matched, ["anchor", "context"], "left")
-              .select("anchor", "context",
-                      F.when(F.col("n") > 1, whole).otherwise(F.col("parts")).alias("parts"))
-              .filter("parts IS NOT NULL"))
-    others = mixed.join(places, ["anchor", "context"]).select("doc_id", "doc", "pos", "parts")
-    placed = simple.unionAll(others).select(
+    # a context met once is where `one` says; one met more often repeats as a whole, at each place
+    once = kinds.filter("n = 1").join(matched, ["anchor", "context"]).select(
+        "one.doc_id", "one.doc", "one.pos", "parts")
+    often = mixed.join(kinds.filter("n > 1"), ["anchor", "context"], "left_semi").select(
+        "doc_id", "doc", "pos", whole.alias("parts"))
+    placed = simple.unionAll(once).unionAll(often).select(
         "doc_id", "doc", F.transform("parts", lambda p: F.struct(
             F.greatest(p["lo"] + F.col("pos"), F.lit(0)).alias("lo"),
             (p["hi"] + F.col("pos")).alias("hi"))).alias("parts"))
