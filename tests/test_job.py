@@ -85,3 +85,17 @@ def test_a_failed_check_stops_the_job(lake, spark):
     with pytest.raises(CheckFailed, match="accepted_values.*lost"):
         job.run_day(lake, dt.datetime(2026, 1, 3, 6))
     assert rows(lake.table("fct_orders")) == before
+
+
+def test_a_day_without_reviews_and_lines(spark, tmp_path):
+    lake = job.Lakehouse(spark, str(tmp_path / "landing"), str(tmp_path / "tables"),
+                         ("1995-01-01", "2025-01-01"))
+    land_day(spark, lake.landing, 2)
+    job.load(lake, RUNS[1])
+    job.clean(lake)
+    job.keep_history(lake, RUNS[1])
+    job.check_layer(lake, "silver")
+    job.build_star(lake)
+    job.build_marts(lake, RUNS[1])
+    assert lake.table("stg_reviews").count() == lake.table("fct_order_items").count() == 0
+    assert lake.table("mart_product_performance").count() > 0

@@ -93,6 +93,18 @@ def test_arrays_compression_and_several_days(spark, tmp_path):
     assert rows(ndjson.good(scan(spark, root)), "order_id") == [(1,), (2,), (3,), (4,)]
 
 
+def test_elements_of_an_array_are_judged_one_by_one(spark, tmp_path):
+    land(str(tmp_path), [[order("1"), order("2")], [order(3), order(4, "cheap"), order("5")],
+                         '[7, null, "no", {"order_id": 6}, [{"order_id": 8}]]', "[]", "  ",
+                         '[{"order_id": 9}, {"order_id": '])
+    found = scan(spark, str(tmp_path))
+    assert rows(ndjson.good(found), "order_id") == [(1,), (2,), (3,), (5,), (6,)]
+    texts = sorted(r[0] for r in ndjson.quarantined(found).collect())
+    assert [t for t in texts if "cheap" not in t] == [
+        "7", '[{"order_id": 9}, {"order_id": ', '[{"order_id":8}]', "no", "null"]
+    assert len(texts) == 6
+
+
 def test_one_array_over_several_lines(spark, tmp_path):
     land(str(tmp_path), [json.dumps([order(1), order(2)], indent=1)])
     assert rows(ndjson.good(scan(spark, str(tmp_path), multi_line=True)), "order_id") == [(1,), (2,)]
@@ -171,6 +183,22 @@ def test_silver_stream_keeps_the_newest_of_late_and_repeated_batches(spark, tmp_
         CLEAN["orders"](bronze(spark, lake, ORDERS)), *table.read().columns)
 
 
+def test_a_forced_load_reaches_the_clean_table(spark, tmp_path):
+    root, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    table = Table(spark, scratch_path(spark, "stg"), key_range("order_id", 10))
+    refresh_silver(spark, lake, ORDERS, table)                # nothing landed yet: an empty table
+    assert table.read().count() == 0 and "status" in table.read().columns
+    land(root, [order(1, 10.0)])
+    load_new_files(spark, root, lake, ORDERS)
+    refresh_silver(spark, lake, ORDERS, table)
+    land(root, [order(1, 20.0)])                              # mended in place, under its old name
+    load_new_files(spark, root, lake, ORDERS)
+    force_load(spark, root, lake, ORDERS, "mended")
+    for _ in range(2):
+        refresh_silver(spark, lake, ORDERS, table)
+    assert rows(table.read(), "order_id", "total_amount") == [(1, 20.0)]
+
+
 # ── cleaning ─────────────────────────────────────────────────────────────────
 
 def test_an_invalid_newest_row_lets_an_older_one_through(frame):

@@ -14,7 +14,7 @@ from tidemark.schemas import ENTITIES
 from tidemark.session import scratch_path
 from tidemark.sources import ndjson, testdata
 from tidemark.sources.tables import Table, key_range
-from tidemark.streaming.bronze import bronze, load_new_files
+from tidemark.streaming.bronze import bronze, force_load, load_new_files
 from tidemark.streaming.silver import refresh_silver
 
 ORDERS = ENTITIES["orders"]
@@ -56,17 +56,23 @@ query("read_day")(lambda s: ndjson.read_day(
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as JSON text, whole or damaged by their priority: medium ones are cut off, low ones
-    have a word for a number, high ones quote their numbers, urgent ones come as arrays."""
-    return testdata.table(spark, sf_dir, "orders").selectExpr("""
+    have a word for a number, high ones quote their numbers, urgent ones are no objects. A third of
+    them has a line each; the others of a customer are an array, of one element or many."""
+    orders = testdata.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", """
         CASE o_orderpriority
-          WHEN '3-MEDIUM' THEN concat('{"order_id": ', o_orderkey, ', "total_amount": ')
-          WHEN '5-LOW' THEN concat('{"order_id": ', o_orderkey, ', "total_amount": "none"}')
-          WHEN '2-HIGH' THEN concat('{"order_id": "', o_orderkey, '", "total_amount": "',
+          WHEN '3-MEDIUM' THEN concat('{"order_id":', o_orderkey, ',"total_amount":')
+          WHEN '5-LOW' THEN concat('{"order_id":', o_orderkey, ',"total_amount":"none"}')
+          WHEN '2-HIGH' THEN concat('{"order_id":"', o_orderkey, '","total_amount":"',
             CAST(o_totalprice AS DECIMAL(18,2)), '"}')
-          WHEN '1-URGENT' THEN concat('[{"order_id": ', o_orderkey, ', "total_amount": ',
-            CAST(o_totalprice AS DECIMAL(18,2)), '}]')
-          ELSE concat('{"order_id": ', o_orderkey, ', "total_amount": ',
-            CAST(o_totalprice AS DECIMAL(18,2)), '}') END AS value""")
+          WHEN '1-URGENT' THEN concat('"order ', o_orderkey, '"')
+          ELSE concat('{"order_id":', o_orderkey, ',"total_amount":',
+            CAST(o_totalprice AS DECIMAL(18,2)), '}') END AS value""", """
+        o_orderpriority = '3-MEDIUM' OR o_orderpriority <> '1-URGENT' AND o_orderkey % 3 = 0
+          AS alone""")
+    arrays = (orders.filter("NOT alone").groupBy("o_custkey")
+              .agg(F.sort_array(F.collect_list("value")).alias("parts"))
+              .selectExpr("concat('[', array_join(parts, ', '), ']') AS value"))
+    return orders.filter("alone").select("value").unionAll(arrays)
 
 
 @query("bronze_quarantine")
@@ -93,6 +99,16 @@ def _idempotent(s: Star) -> DataFrame:
     return bronze(s.spark, _load(s, (1, 2)), ORDERS)
 
 
+@query("bronze_forced")
+def _forced(s: Star) -> DataFrame:
+    """A day loaded, then all of its files once more by force."""
+    landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "bronze")
+    _land(s, "orders", (1,), landing)
+    load_new_files(s.spark, landing, root, ORDERS, testdata.RUN_AT[1])
+    force_load(s.spark, landing, root, ORDERS, "again", testdata.RUN_AT[2])
+    return bronze(s.spark, root, ORDERS)
+
+
 @query("bronze_stamp")
 def _stamp(s: Star) -> DataFrame:
     batch = ndjson.stamp(s.raw("order_items"), testdata.RUN_AT[1])
@@ -144,3 +160,17 @@ def _silver_stream(s: Star) -> DataFrame:
         load_new_files(s.spark, landing, root, ORDERS, testdata.RUN_AT[day])
         refresh_silver(s.spark, root, ORDERS, table)
     return table.read()
+
+
+@query("silver_forced")
+def _silver_forced(s: Star) -> DataFrame:
+    """Day 2 is loaded by force only, and reaches the clean table."""
+    landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "bronze")
+    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), key_range("order_id", 65536))
+    _land(s, "orders", (1,), landing)
+    load_new_files(s.spark, landing, root, ORDERS, testdata.RUN_AT[1])
+    refresh_silver(s.spark, root, ORDERS, table)
+    _land(s, "orders", (2,), landing)
+    force_load(s.spark, landing, root, ORDERS, "late", testdata.RUN_AT[2])
+    refresh_silver(s.spark, root, ORDERS, table)
+    return table.read()
