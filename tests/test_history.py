@@ -2,6 +2,8 @@ import hashlib
 
 from conftest import plan, rows
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import advance, overlapping_versions, snapshot
 from tidemark.session import materialize
 
@@ -106,3 +108,21 @@ def test_sound_history_has_no_overlap(frame):
     data = [(1, DAY[0], DAY[1], "a"), (1, DAY[1], DAY[2], "b"), (1, DAY[2], None, "c"),
             (2, DAY[0], None, "d"), (3, DAY[0], None, "e"), (3, DAY[0], DAY[1], "f")]
     assert overlapping_versions(as_spans(frame, data), "id").count() == 0
+
+
+def test_many_adjacent_versions_of_one_key_pair_up_with_none(spark):
+    second = "timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 0, 0, id"
+    sound = spark.range(100_000).selectExpr(
+        "1L AS id", f"{second}) AS dbt_valid_from", f"{second} + 1) AS dbt_valid_to",
+        "string(id) AS dbt_scd_id")
+    assert overlapping_versions(sound, "id").count() == 0
+    longer = sound.withColumn("dbt_valid_to", F.when(
+        F.col("dbt_scd_id") == "10", F.col("dbt_valid_to") + F.expr("make_dt_interval(0, 0, 0, 3)"))
+        .otherwise(F.col("dbt_valid_to")))
+    assert overlapping_versions(longer, "id").count() == 3
+
+
+def test_overlap_keeps_repeated_rows_and_drops_nulls(frame):
+    data = [(1, DAY[0], None, "a"), (1, DAY[0], None, "a"), (1, DAY[1], None, "b"),
+            (None, DAY[0], None, "c"), (None, DAY[1], None, "d"), (1, None, None, "e")]
+    assert overlapping_versions(as_spans(frame, data), "id").count() == 2

@@ -20,6 +20,9 @@ from pyspark.sql.types import DataType
 
 from tidemark.session import materialize
 
+# A round narrows an interval many-fold; only rows in one and the same place stop that.
+MOST_ROUNDS = 30
+
 
 @dataclass(frozen=True)
 class Order:
@@ -67,10 +70,10 @@ def _place(df: DataFrame, order: Order, id_col: str) -> Column:
 
 
 def _interval_counts(df: DataFrame, searches: list[_Search]) -> list[dict[int, int]]:
-    parts = [df.select(F.lit(i).alias("s"), s.slot().alias("slot")).groupBy("s", "slot").count()
-             for i, s in enumerate(searches)]
+    slots = df.select(F.inline(F.array(*(
+        F.struct(F.lit(i).alias("s"), s.slot().alias("slot")) for i, s in enumerate(searches)))))
     counts: list[dict[int, int]] = [{} for _ in searches]
-    for row in reduce(DataFrame.unionAll, parts).collect():   # a few dozen rows
+    for row in slots.groupBy("s", "slot").count().collect():   # a few dozen rows
         counts[row["s"]][row["slot"]] = row["count"]
     return counts
 
@@ -85,62 +88,69 @@ def _locate(counts: dict[int, int], rank: int) -> tuple[int, int, int]:
     raise AssertionError("rank lies beyond the table")
 
 
-def _cuts(df: DataFrame, s: _Search, slots: set[int], counts: dict[int, int], sample_rows: int,
-          seed: int) -> set[Any]:
-    """Cut points close around the wanted ranks in the given intervals, from one sample of them."""
-    rows = sum(counts[slot] for slot in slots)
-    sample: dict[int, list[Any]] = {slot: [] for slot in slots}
-    picked = (df.select(s.place.alias("p"), s.slot().alias("slot"))
-              .filter(F.col("slot").isin(sorted(slots)))
-              .sample(min(1.0, sample_rows / rows), seed=seed))
-    for row in picked.collect():   # about `sample_rows` rows
-        sample[row["slot"]].append(tuple(row["p"]))
-    cuts = set()
-    for rank in s.ends.values():
-        slot, inner, inside = _locate(counts, rank)
-        spots = sorted(sample.get(slot, []))
-        if spots:
-            middle, margin = inner * len(spots) // inside, isqrt(len(spots)) + 1
-            cuts |= {spots[max(0, middle - margin)], spots[min(len(spots) - 1, middle + margin)]}
-    return cuts
+def _in_slots(searches: list[_Search], slots: list[set[int]]) -> Column:
+    """Per search whose intervals hold the row: its number, the interval, and the place as `p<i>`."""
+    entries = []
+    for i, (s, inside) in enumerate(zip(searches, slots)):
+        if inside:
+            places = (other.place if j == i else F.lit(None).cast(other.kind)
+                      for j, other in enumerate(searches))
+            entries.append(F.when(s.slot().isin(sorted(inside)), F.struct(
+                F.lit(i).alias("s"), s.slot().alias("slot"),
+                *(p.alias(f"p{j}") for j, p in enumerate(places)))))
+    return F.inline(F.array_compact(F.array(*entries)))
+
+
+def _narrow(df: DataFrame, searches: list[_Search], wide: list[set[int]],
+            counts: list[dict[int, int]], sample_rows: int, seed: int) -> None:
+    """Cut points close around the wanted ranks in the wide intervals, from one sample of each."""
+    sizes = [sum(have[slot] for slot in slots) for slots, have in zip(wide, counts)]
+    share = reduce(lambda rest, i: F.when(F.col("s") == i, min(1.0, sample_rows / sizes[i]))
+                   .otherwise(rest), (i for i, n in enumerate(sizes) if n), F.lit(0.0))
+    picked = df.select(_in_slots(searches, wide)).filter(F.rand(seed) < share)
+    sample: dict[tuple[int, int], list[Any]] = {}
+    for row in picked.collect():   # about `sample_rows` rows a score
+        sample.setdefault((row["s"], row["slot"]), []).append(tuple(row[f"p{row['s']}"]))
+    for i, s in enumerate(searches):
+        cuts = set(s.cuts)
+        for rank in s.ends.values():
+            slot, inner, inside = _locate(counts[i], rank)
+            spots = sorted(sample.get((i, slot), []))
+            if spots:
+                middle, margin = inner * len(spots) // inside, isqrt(len(spots)) + 1
+                cuts |= {spots[max(0, middle - margin)],
+                         spots[min(len(spots) - 1, middle + margin)]}
+        s.cuts = sorted(cuts)
 
 
 def _rank_ends(df: DataFrame, searches: list[_Search], counts: list[dict[int, int]]) -> None:
     """Find the rows at the tile ends, by ranking the intervals they lie in; one job for all."""
     places = [{t: _locate(counts[i], rank)[:2] for t, rank in s.ends.items()}
               for i, s in enumerate(searches)]
-    parts = []
-    for i, (s, where) in enumerate(zip(searches, places)):
-        if not where:
-            continue
-        # One partition per interval, each at most `rank_rows` rows.
-        ranked = (df.select(s.place.alias(f"p{i}"), s.slot().alias("slot"))
-                  .filter(F.col("slot").isin(sorted({slot for slot, _ in where.values()})))
-                  .withColumn("r", F.row_number().over(
-                      Window.partitionBy("slot").orderBy(f"p{i}"))))
-        wanted = reduce(lambda a, b: a | b, (
-            (F.col("slot") == slot) & (F.col("r") == r) for slot, r in where.values()))
-        parts.append(ranked.filter(wanted))
-    if not parts:
+    wanted = {(i, *spot) for i, where in enumerate(places) for spot in where.values()}
+    if not wanted:
         return
-    found: list[dict[tuple[int, int], Any]] = [{} for _ in searches]
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    for row in union.collect():   # at most one row per tile and score
-        for i in range(len(searches)):
-            if row.asDict().get(f"p{i}") is not None:
-                found[i][(row["slot"], row["r"])] = tuple(row[f"p{i}"])
-    for s, where, spots in zip(searches, places, found):
-        s.found = {t: spots[spot] for t, spot in where.items()}
+    # One window partition per score and interval, each of at most `rank_rows` rows.
+    by = [f"p{i}" for i in range(len(searches))]
+    ranked = (df.select(_in_slots(searches, [{slot for slot, _ in w.values()} for w in places]))
+              .withColumn("r", F.row_number().over(Window.partitionBy("s", "slot").orderBy(*by)))
+              .filter(reduce(lambda a, b: a | b, (
+                  (F.col("s") == i) & (F.col("slot") == slot) & (F.col("r") == r)
+                  for i, slot, r in sorted(wanted)))))
+    found = {(row["s"], row["slot"], row["r"]): tuple(row[f"p{row['s']}"])
+             for row in ranked.collect()}   # at most one row per tile and score
+    for i, (s, where) in enumerate(zip(searches, places)):
+        s.found = {t: found[(i, *spot)] for t, spot in where.items()}
 
 
 def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
-                 rank_rows: int = 2_000_000, sample_rows: int = 20_000) -> dict[str, Column]:
+                 rank_rows: int = 1_000, sample_rows: int = 20_000) -> dict[str, Column]:
     """An NTILE expression per entry of `scores`, to be put on the rows of `df`.
 
     Keys must be numeric; equal keys are ordered by `id_col`, which is unique. `df` is read several
-    times and should be stored. Per round it is counted, and a small sample is taken. A round
-    narrows each interval about 50-fold; once one holds at most `rank_rows` rows these are ranked,
-    for every tile end apart.
+    times and should be stored. A round takes a small sample and counts the table, once each for all
+    scores, and narrows each interval about 50-fold. The `rank_rows` or fewer rows that an interval
+    holds at last are ranked, for every tile end apart: no task ever ranks more, whatever the table.
     """
     total = df.count()
     places = [_place(df, o, id_col) for o in scores.values()]
@@ -154,12 +164,10 @@ def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles:
                 for i, s in enumerate(searches)]
         if not any(wide):
             break
-        known = [list(s.cuts) for s in searches]
-        for s, slots, have in zip(searches, wide, counts):
-            if slots:
-                s.cuts = sorted({*s.cuts, *_cuts(df, s, slots, have, sample_rows, seed)})
-        if known == [s.cuts for s in searches]:
-            break   # nothing narrower was met; what follows is exact all the same
+        if seed > MOST_ROUNDS:
+            raise ValueError(f"{id_col} must be unique: many rows have one place in the order")
+        # A sample that misses an interval leaves it as wide; the next round draws again.
+        _narrow(df, searches, wide, counts, sample_rows, seed)
         counts = _interval_counts(df, searches)
 
     _rank_ends(df, searches, counts)

@@ -66,26 +66,35 @@ def _all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _by_column(counts: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
+    """A row per column out of one row with a count for each."""
+    return counts.select(F.inline(F.array(*(
+        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
+                 F.col(c).alias("failures")) for c in cols))))
+
+
 def not_null(tables: Tables, columns: Mapping[str, Sequence[str]]) -> DataFrame:
     """Nulls per column; one pass over each table, whatever the number of its columns."""
     parts = []
     for name, cols in columns.items():
         counts = tables[name].agg(*(F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols))
-        parts.append(counts.select(F.inline(F.array(*(
-            F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
-                     F.col(c).alias("failures")) for c in cols)))))
+        parts.append(_by_column(counts, name, cols))
     return _all(parts)
 
 
 def unique(tables: Tables, columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Values per column that occur more than once, nulls aside."""
+    """Values per column that occur more than once, nulls aside; one pass over each table."""
     parts = []
     for name, cols in columns.items():
-        for c in cols:
-            twice = (tables[name].filter(F.col(c).isNotNull()).groupBy(c).count()
-                     .filter("count > 1"))
-            parts.append(twice.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "failures"))
+        # One field per column, null but for the entry's own: values keep their types.
+        entries = [F.struct(F.lit(i).alias("_n"), *(
+            (F.col(c) if c == own else F.lit(None).cast(tables[name].schema[c].dataType)).alias(c)
+            for c in cols)) for i, own in enumerate(cols)]
+        values = tables[name].select(F.inline(F.array(*entries)))
+        given = reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in cols))
+        twice = values.filter(given).groupBy("_n", *cols).count().filter("count > 1")
+        found = twice.agg(*(F.count_if(F.col("_n") == i).alias(c) for i, c in enumerate(cols)))
+        parts.append(_by_column(found, name, cols))
     return _all(parts)
 
 
@@ -150,10 +159,15 @@ def gate(tables: Tables, minimum: Mapping[str, int] = GATE) -> None:
 
 
 def require_none(findings: Mapping[str, DataFrame]) -> None:
-    """Stop if any check has a finding; one row of each is fetched to say so."""
-    failed = {name: rows[0] for name, df in findings.items() if (rows := df.limit(1).collect())}
+    """Stop if any check has a finding; one row of each is fetched to say so, in one job."""
+    if not findings:
+        return
+    firsts = _all([df.limit(1).select(F.lit(name).alias("check"),
+                                      F.to_json(F.struct("*")).alias("row"))
+                   for name, df in findings.items()])
+    failed = sorted(map(tuple, firsts.collect()))   # at most a row per check
     if failed:
-        raise CheckFailed("; ".join(f"{n}: {r.asDict()}" for n, r in failed.items()))
+        raise CheckFailed("; ".join(f"{name}: {row}" for name, row in failed))
 
 
 def column_checks(tables: Tables, layer: str) -> dict[str, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -38,12 +39,13 @@ def _local_root() -> str:
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session may go without the setting; it then gets a new temporary folder.
+    Only a session whose executor is the driver itself (`local`, `local[…]`) may go without the
+    setting; it then gets a new temporary folder. All others, `local-cluster` too, must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_root()
 
