@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import backoff, forest, minmax, mixing, orderhash, packing, quality, repeats, toxicity, wavelet
+from tidemark.llm import (backoff, countmin, forest, minmax, mixing, orderhash, packing, quality,
+                          repeats, toxicity, wavelet)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +82,29 @@ MIX = {"entropy": 0.97, "budget": 1.0}
 @query("op9_temperature_mixing")
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), **MIX)
+
+
+@query("op11_countmin_windows")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = countmin.without_earlier_windows(table(spark, sf_dir, "documents"), width=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op11_countmin_windows"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+places AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS phrase
+    FROM texts, unnest(range(1, len(ws) - 11)) AS t(i)),
+owners AS (SELECT phrase, min(doc_id) AS owner FROM places GROUP BY phrase),
+gone AS (
+    SELECT DISTINCT doc_id, i + j AS pos
+    FROM places JOIN owners USING (phrase), unnest(range(0, 13)) AS s(j) WHERE owner < doc_id),
+single AS (
+    SELECT doc_id, pos, ws[pos] AS word FROM texts, unnest(range(1, len(ws) + 1)) AS t(pos)),
+left_over AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept
+    FROM single ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN left_over USING (doc_id)"""
