@@ -9,7 +9,7 @@ small array in one task and the whole sketch is nowhere. Its width follows the s
 (`load` windows a counter at most, by the bytes), hence it is as selective at any size.
 
 Counters never fall short, so a window that stands in two documents is never lost; some others pass
-as well. What passes is then grouped exactly, by 128 bits of hash, to the least doc_id of each
+as well. What passes is then grouped exactly, by 96 bits of hash, to the least doc_id of each
 window. Blocks contribute a distinct window once, with the least and greatest doc_id that has it: a
 window that stands everywhere is one row a block, however often it occurs.
 
@@ -106,24 +106,28 @@ class Block:
             at, h, g = windows(found, width)
             row = found.text[at] + a
             keep = known[row]
-            parts.append((h[keep], g[keep], doc[row[keep]]))
+            parts.append((h[keep], (g[keep] >> np.uint64(32)).astype(np.uint32), doc[row[keep]]))
         h, g, doc = (np.concatenate(x) for x in zip(*parts)) if parts else (
-            np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        order = np.lexsort((g, h))
+            np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        parts.clear()
+        order = np.argsort(h)
+        one = h[order[1:]] == h[order[:-1]]
+        if (one & (g[order[1:]] != g[order[:-1]])).any():   # 64 bits were not enough
+            order = np.lexsort((g, h))
         h, g, doc = h[order], g[order], doc[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
         at = np.flatnonzero(new)
+        #: of each window of the block, in the order of the text: its place among the distinct ones
+        self.place = np.empty(len(h), np.int32)
+        self.place[order] = np.cumsum(new, dtype=np.int32) - 1
         self.h, self.g = h[at], g[at]
         self.least = np.minimum.reduceat(doc, at) if len(at) else doc
-        self.most = np.maximum.reduceat(doc, at) if len(at) else doc
-
-    def weight(self) -> np.ndarray:
-        """Documents that have the window: 1, or 2 for more."""
-        return 1 + (self.most > self.least)
+        self.shared = (np.maximum.reduceat(doc, at) if len(at) else doc) > self.least
 
     def counters(self, row: int, wide: int) -> np.ndarray:
-        return mix(self.h ^ mix(np.uint64(row + 1) * self.g)) >> np.uint64(64 - wide)
+        salt = mix(self.g.astype(np.uint64) * np.uint64(row + 1) + np.uint64(row))
+        return mix(self.h ^ salt) >> np.uint64(64 - wide)
 
 
 def _packed(counters: np.ndarray) -> bytes:
@@ -153,7 +157,7 @@ def sketches(stored: DataFrame, width: int, depth: int, wide: int) -> DataFrame:
                 yield made(name, Block(packed.as_py(), width))
 
     def made(name: int, block: Block) -> pa.RecordBatch:
-        weight, rows = block.weight(), []
+        weight, rows = 1 + block.shared, []
         for row in range(depth):
             counters = block.counters(row, wide)
             order = np.argsort(counters)
@@ -189,7 +193,11 @@ def merged(parts: DataFrame) -> DataFrame:
 
 def estimated_repeated(stored: DataFrame, sums: DataFrame, width: int, depth: int,
                        wide: int) -> DataFrame:
-    """block, h, g, least, most: windows that by the sketch more than one document has."""
+    """block, h, g, least, place: windows that by the sketch more than one document has.
+
+    `place` is that among the distinct windows of the block, counted from 1, and negative if several
+    documents of the block have the window; `least` is the first of them.
+    """
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
         for name, packed in zip(docs.column("block").to_pylist(), docs.column("docs")):
@@ -205,29 +213,31 @@ def estimated_repeated(stored: DataFrame, sums: DataFrame, width: int, depth: in
                 bits = [np.unpackbits(np.frombuffer(t, np.uint8), count=n)
                         for (_, t), n in zip((x for x in twice if x[0] >> 40 == row), sizes)]
                 passed &= np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)[at]
+            place = np.flatnonzero(passed).astype(np.int32) + np.int32(1)
             out.append(pa.table({
-                "block": pa.array(np.full(int(passed.sum()), name)),
-                "h": pa.array(signed(block.h[passed])), "g": pa.array(signed(block.g[passed])),
-                "least": pa.array(block.least[passed]), "most": pa.array(block.most[passed])}))
+                "block": pa.array(np.full(len(place), name)), "h": pa.array(signed(block.h[passed])),
+                "g": pa.array(block.g[passed].view(np.int32)), "least": pa.array(block.least[passed]),
+                "place": pa.array(np.where(block.shared[passed], -place, place))}))
         return pa.concat_tables(out) if out else _PASSED.empty_table()
 
     return stored.select("block", "docs").groupBy("block").cogroup(sums.groupBy("block")) \
-        .applyInArrow(run, "block long, h long, g long, least long, most long")
+        .applyInArrow(run, "block long, h long, g int, least long, place int")
 
 
-_PASSED = pa.schema([(n, pa.int64()) for n in ("block", "h", "g", "least", "most")])
+_PASSED = pa.schema([("block", pa.int64()), ("h", pa.int64()), ("g", pa.int32()),
+                     ("least", pa.int64()), ("place", pa.int32())])
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                    ("text", pa.string())])
 
 
 def first_owners(passed: DataFrame) -> DataFrame:
-    """block, h, g, first: the least doc_id of each window, for blocks where a larger one has it.
+    """block, place, first: the least doc_id of each window, for blocks where a larger one has it.
 
     A window has at most one row a block, so no group outgrows the number of blocks.
     """
     first = F.min("least").over(Window.partitionBy("h", "g"))
-    return (passed.withColumn("first", first).filter("first < most")
-            .select("block", "h", "g", "first"))
+    return (passed.withColumn("first", first).filter("place < 0 OR first < least")
+            .select("block", F.abs("place").alias("place"), "first"))
 
 
 def without_earlier_windows(docs: DataFrame, width: int = 13, depth: int = 2, load: float = 0.125,
@@ -240,44 +250,29 @@ def without_earlier_windows(docs: DataFrame, width: int = 13, depth: int = 2, lo
     owners = first_owners(estimated_repeated(stored, sums, width, depth, wide))
 
     def cut(docs: pa.Table, found: pa.Table) -> pa.Table:
-        h, g, first = (found.column(c).to_numpy() for c in ("h", "g", "first"))
-        h, g = h.view(np.uint64), g.view(np.uint64)
-        order = np.lexsort((g, h))
-        h, g, first = h[order], g[order], first[order]
-        out = [_cut(packed.as_py(), width, h, g, first) for packed in docs.column("docs")]
+        place, first = (found.column(c).to_numpy() for c in ("place", "first"))
+        out = [_cut(packed.as_py(), width, place, first) for packed in docs.column("docs")]
         return pa.concat_tables(out) if out else _KEPT.empty_table()
 
     return stored.select("block", "docs").groupBy("block").cogroup(owners.groupBy("block")) \
         .applyInArrow(cut, "doc_id long, n_words long, n_removed long, text string")
 
 
-def _owner(h: np.ndarray, g: np.ndarray, at_h: np.ndarray, at_g: np.ndarray,
-           first: np.ndarray, none: int) -> np.ndarray:
-    """The least doc_id of each window (h, g) among the sorted (at_h, at_g); `none` without one."""
-    out = np.full(len(h), none, np.int64)
-    at = np.searchsorted(at_h, h)
-    open_ = np.flatnonzero(at < len(at_h))
-    while len(open_):   # rows of one h are neighbours; a second one has the other 64 bits different
-        here = at[open_]
-        same = at_h[here] == h[open_]
-        hit = same & (at_g[here] == g[open_])
-        out[open_[hit]] = first[here[hit]]
-        open_ = open_[same & ~hit]
-        at[open_] += 1
-        open_ = open_[at[open_] < len(at_h)]
-    return out
-
-
-def _cut(packed: bytes, width: int, h: np.ndarray, g: np.ndarray, first: np.ndarray) -> pa.Table:
+def _cut(packed: bytes, width: int, place: np.ndarray, first: np.ndarray) -> pa.Table:
+    block = Block(packed, width)
+    owner = np.full(len(block.h), np.iinfo(np.int64).max)
+    owner[place - 1] = first
+    owner = owner[block.place]   # of each window that has a doc_id, in the order of the text
     ids, texts = opened(packed)
     known = np.asarray(ids.is_valid())
     doc = ids.fill_null(0).to_numpy()
-    n_words, n_removed, kept = [], [], []
+    n_words, n_removed, kept, done = [], [], [], 0
     for a, b, data, found in portions(texts):
-        at, wh, wg = windows(found, width)
+        at, _, _ = windows(found, width)
         row = found.text[at] + a
-        far = np.iinfo(np.int64).max
-        gone = at[known[row] & (_owner(wh, wg, h, g, first, far) < doc[row])]
+        at, row = at[known[row]], row[known[row]]
+        gone = at[owner[done:done + len(at)] < doc[row]]
+        done += len(at)
         step = np.zeros(len(found.hashes) + 1, np.int64)
         np.add.at(step, gone, 1)
         np.add.at(step, gone + width, -1)
