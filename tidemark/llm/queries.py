@@ -7,14 +7,28 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import (backoff, countmin, forest, minmax, mixing, orderhash, packing, quality,
-                          repeats, toxicity, wavelet)
+from tidemark.llm import (backoff, countmin, forest, minmax, mixing, orderhash, packing, prefixtree,
+                          quality, repeats, spelling, toxicity, wavelet)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+#: SQL: a step with the table that `crc32` looks up, one row.
+CRC_TABLE = """crc_table AS MATERIALIZED (
+    SELECT list(list_reduce(range(8), lambda c, bit: xor(c >> 1, (c & 1) * 3988292384), n)
+                ORDER BY n) AS t FROM range(256) AS r(n))"""
+
+
+def crc32(text: str) -> str:
+    """SQL: the unsigned crc32 of the UTF-8 bytes of a text."""
+    data = f"""list_transform(range(1, 2 * octet_length(encode({text})) + 1, 2),
+        lambda i: ('0x' || hex(encode({text}))[i:i + 1])::BIGINT)"""
+    return f"""xor(4294967295, list_reduce({data}, lambda c, b:
+        xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1]), 4294967295))"""
+
+
 def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         QUERIES[name] = build
@@ -108,3 +122,80 @@ left_over AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM texts LEFT JOIN left_over USING (doc_id)"""
+
+
+@query("op12_forward_tree")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtree.tree(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_trie_spelling")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), letters=5, least=3, times=2)
+
+
+ORACLE_SQL["op12_forward_tree"] = f"""
+WITH {CRC_TABLE},
+own AS (
+    SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+rebuilt AS (
+    SELECT own.c, list_concat(coalesce(base.turns, [])[1:h], own.turns[h + 1:]) AS turns
+    FROM (SELECT own.*, {crc32('c::VARCHAR')} % 6 AS h FROM own, crc_table) AS own
+    LEFT JOIN own AS base ON base.c = own.c - own.c % 100),
+steps AS (
+    SELECT c, d, len(turns) = d AS ends, CASE WHEN d > 0 THEN length(turns[d].t) ELSE 0 END AS size,
+        list_transform(turns[1:d], lambda x: length(x.r) || ':' || x.r || x.t) AS path
+    FROM rebuilt, unnest(range(0, len(turns) + 1)) AS s(d)),
+nodes AS (
+    SELECT path, min(c) AS conv_id, any_value(d) AS depth, count(*) AS n_convs,
+        (count(*) - 1) * any_value(size) AS own_saved,
+        coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ending
+    FROM steps GROUP BY path),
+linked AS (
+    SELECT nodes.*, CASE WHEN depth > 0 THEN path[1:depth - 1] END AS up FROM nodes),
+children AS (SELECT up AS path, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY up),
+below AS (
+    SELECT linked.path[1:a] AS path, sum(own_saved) AS saved, count(*) FILTER (n_children IS NULL) AS leaves
+    FROM linked LEFT JOIN children USING (path), unnest(range(0, depth + 1)) AS s(a) GROUP BY 1)
+SELECT l.conv_id, l.depth, p.conv_id AS parent_conv_id, l.n_convs,
+    coalesce(n_children, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens,
+    sha256(l.ending) AS ends_sha256
+FROM linked AS l JOIN below USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes AS p ON l.up = p.path"""
+
+ORACLE_SQL["op13_trie_spelling"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+    WHERE length(run) >= 5),
+hashed AS (
+    SELECT run, {crc32("concat(doc_id::VARCHAR, ':', run)")} AS h FROM runs, crc_table),
+words AS (
+    SELECT word, count(*) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0
+            THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+holes AS (
+    SELECT word, i, word[1:i - 1] AS a, word[i + 1:] AS b
+    FROM words, unnest(range(1, length(word) + 1)) AS s(i)),
+pairs AS (
+    SELECT x.word, y.word AS near FROM holes AS x JOIN holes AS y USING (i, a, b) WHERE x.word <> y.word
+    UNION SELECT holes.word, w.word FROM holes JOIN words AS w ON w.word = a || b
+    UNION SELECT w.word, holes.word FROM holes JOIN words AS w ON w.word = a || b),
+best AS (
+    SELECT pairs.word, count(*) AS n_near, first(near ORDER BY y.n DESC, encode(near)) AS near,
+        max(y.n) AS near_n
+    FROM pairs JOIN words AS y ON near = y.word GROUP BY pairs.word),
+forms AS (
+    SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * words.n THEN near END AS form,
+        CASE WHEN near_n >= 2 * words.n THEN near_n END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+walk AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON walk.root = forms.word
+    WHERE forms.form IS NOT NULL),
+roots AS (SELECT walk.word, root FROM walk JOIN forms ON root = forms.word WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
