@@ -3,11 +3,12 @@
 The trie is a table of edges. Chains without branches are one edge, so a node is a prefix after
 which words differ or end, and the number of levels is that of branchings, not of letters. A state
 is a word, the part of it still to be read, a node, and the letters read to get there. Where a word's
-own path passes a node, the edit may happen: another letter instead of its next one, another letter
-before it, or its next letter left out. Words one edit apart part at a node for good, so these are
-all the places there are. From then on the rest must match exactly: the frontier is joined with the
-edges by (node, next letter) until no state has anything left to read. States that end where a word
-ends are its neighbours.
+own path passes a node, the edit may happen: a greater letter instead of its next one, or its next
+letter left out. Each pair is so found from one side, and turned round at the end. Words one edit apart
+part at a node for good, so these are all the places there are. From then on the rest must match
+exactly: the frontier is joined with the edges by (node, next letter) until no state has anything
+left to read. States that end where a word ends are its neighbours. A node knows by a bit each what
+three letters may follow it, and a state whose next three letters may not is not made.
 
 Near the root nodes have very many words and branch to every letter. A word is therefore walked twice,
 as it is and backwards, and edits happen only in the second half of either walk: an edit in the first
@@ -61,19 +62,30 @@ def counted(docs: DataFrame, letters: int, least: int) -> DataFrame:
 
 # ── the trie ─────────────────────────────────────────────────────────────────
 
-def first_depth(length: np.ndarray, back: bool) -> np.ndarray:
-    """Least prefix of a word that a neighbour may reach after its own first half."""
-    return length // 2 if back else (length - 1) // 2
+# How the next three letters choose a bit, here and in SQL.
+_SECOND, _FIRST, _SPREAD = 31, 961, 2654435761
+
+
+def bit_of(rest: str) -> str:
+    """SQL: the bit of the first three letters of a text, of which there may be fewer."""
+    a, b, c = (f"ascii(substring({rest}, {i}, 1))" for i in (1, 2, 3))
+    return (f"CAST(shiftright(({a} * {_FIRST}L + {b} * {_SECOND}L + {c}) * {_SPREAD}L, 16) % 64 AS INT)")
+
 
+def fits(rest: str, ahead: str) -> str:
+    """SQL: false if no word goes on from a node like this."""
+    return f"(shiftright({ahead}, {bit_of(rest)}) & 1L) = 1L"
 
-def edit_depth(length: Column, back: Column) -> Column:
-    """Least prefix after which a word is edited, on either walk."""
-    half = F.floor(length / 2)
-    return F.when(back, length - half).otherwise(half)
+
+def first_depth(length: np.ndarray, back: bool) -> np.ndarray:
+    """Least prefix after which a word is edited on either walk, and so the first that has a node. No
+    word is reached from a shorter one, hence not before its own first depth."""
+    return length - length // 2 if back else length // 2
 
 
 def prefixes(words: DataFrame) -> DataFrame:
-    """w, back, depth, node, letter (the next one, 0 at the end): the prefixes of each word."""
+    """w, back, depth, node, letter (the next one, 0 at the end), ahead (bit of the next three): the
+    prefixes of each word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             word = batch.column("word").to_pylist()
@@ -96,80 +108,71 @@ def prefixes(words: DataFrame) -> DataFrame:
         at = start[own]
         node = mix((sums[at + depth] - sums[at]) * powers(_BACK, len(letters) + 1)[at]
                    + mix(2 * depth.astype(np.uint64) + np.uint64(back)))
-        letter = np.append(letters, 0)[at + depth]
-        letter[depth == size[own]] = 0
+        padded = np.append(letters, [0, 0, 0]).astype(np.int64)
+        letter, second, third = (np.where(depth + k < size[own], padded[at + depth + k], 0)
+                                 for k in range(3))
+        bit = ((letter * _FIRST + second * _SECOND + third) * _SPREAD >> 16) % 64
         return pa.RecordBatch.from_arrays(
             [pa.array(w[own]), pa.array(np.full(len(own), back)), pa.array(depth.astype(np.int32)),
-             pa.array(signed(node)), pa.array(letter.astype(np.int32))],
-            ["w", "back", "depth", "node", "letter"])
+             pa.array(signed(node)), pa.array(letter.astype(np.int32)),
+             pa.array(signed(np.uint64(1) << bit.astype(np.uint64)))],
+            ["w", "back", "depth", "node", "letter", "ahead"])
 
     return words.select("w", "word").mapInArrow(
-        run, "w long, back boolean, depth int, node long, letter int")
+        run, "w long, back boolean, depth int, node long, letter int, ahead long")
 
 
 def trails(words: DataFrame) -> DataFrame:
     """back, s (the word as it is walked), trail: the nodes on its path, from some depth on."""
     rows = materialize(prefixes(words), "prefixes")
-    nodes = (rows.groupBy("node").agg(F.min("letter").alias("low"), F.max("letter").alias("high"))
-             .filter("low = 0 OR low < high").select("node", (F.col("low") == 0).alias("ends")))
-    found = (rows.join(nodes, "node").groupBy("w", "back")
-             .agg(F.sort_array(F.collect_list(F.struct("depth", "node", "ends"))).alias("trail")))
+    nodes = (rows.groupBy("node").agg(F.min("letter").alias("low"), F.max("letter").alias("high"),
+                                      F.bit_or("ahead").alias("ahead"))
+             .filter("low = 0 OR low < high").select("node", (F.col("low") == 0).alias("ends"), "ahead"))
+    found = (rows.drop("letter", "ahead").join(nodes, "node").groupBy("w", "back").agg(F.sort_array(
+        F.collect_list(F.struct("depth", "node", "ends", "ahead"))).alias("trail")))
     word = F.col("word")
     return found.join(words.select("w", "word"), "w").select(
         "back", F.when(F.col("back"), F.reverse(word)).otherwise(word).alias("s"), "trail")
 
 
 def edges(paths: DataFrame) -> DataFrame:
-    """node, letter, label, child, ends: one row for each edge."""
+    """node, letter, label, child, child_ends, child_ahead: one row for each edge."""
     steps = paths.filter("size(trail) > 1").selectExpr("s", """
         explode(transform(sequence(1, size(trail) - 1),
             k -> struct(trail[k - 1] AS a, trail[k] AS b))) AS step""")
     labelled = steps.selectExpr(
         "step.a.node AS node", "substring(s, step.a.depth + 1, step.b.depth - step.a.depth) AS label",
-        "step.b.node AS child", "step.b.ends AS ends").withColumn("letter", F.left("label", F.lit(1)))
-    return labelled.groupBy("node", "letter").agg(
-        F.min("label").alias("label"), F.min("child").alias("child"), F.max("ends").alias("ends"))
+        "step.b.node AS child", "step.b.ends AS child_ends", "step.b.ahead AS child_ahead")
+    return labelled.groupBy("node", F.left("label", F.lit(1)).alias("letter")).agg(
+        *(F.min(c).alias(c) for c in ("label", "child", "child_ends", "child_ahead")))
 
 
 # ── the frontier ─────────────────────────────────────────────────────────────
 
-_STATE = ["back", "s", "node", "ends", "read", "rest"]
-
-
-def _after(text: str, start: str) -> str:
-    """SQL: what follows after `start`, null if the text does not start with it."""
-    return f"IF(startswith({text}, {start}), substring({text}, length({start}) + 1), NULL)"
+# A state: back, s (the word), node, ends (whether a word ends there), read, rest.
+_GONE_ON = ("back", "s", "child AS node", "child_ends AS ends", "read || label AS read")
 
 
 def edited(paths: DataFrame, graph: DataFrame) -> DataFrame:
     """States after the one edit."""
-    places = (paths.select("back", "s", F.inline("trail"))
-              .filter(F.col("depth") >= edit_depth(F.length("s"), F.col("back")))
-              .selectExpr("back", "s", "node", "ends", "left(s, depth) AS read",
-                          "substring(s, depth + 1) AS rest"))
-    dropped = (places.filter("rest <> ''")
-               .selectExpr("back", "s", "node", "ends", "read", "substring(rest, 2) AS rest"))
-    tail, states = "substring(label, 2)", []
-    for rest in ("rest", "IF(rest = '', NULL, substring(rest, 2))"):
-        left = _after(rest, tail)
-        states.append(f"IF({left} IS NULL, NULL, struct({left} AS rest))")
-    met = graph.select(F.col("node"), "letter", "label", "child", F.col("ends").alias("child_ends"))
-    # another letter before the next one, or in its place
-    other = (places.join(met, "node").filter("letter <> left(rest, 1)")
-             .withColumn("went", F.expr(f"array_compact(array({', '.join(states)}))"))
-             .filter("size(went) > 0")
-             .selectExpr("back", "s", "child AS node", "child_ends AS ends", "read || label AS read",
-                         "explode(went.rest) AS rest"))
-    return dropped.unionAll(other)
+    places = (paths.select("back", "s", F.inline("trail")).filter("depth < length(s)")
+              .selectExpr("back", "s", "node", "ends", "ahead", "left(s, depth) AS read",
+                          "substring(s, depth + 1, 1) AS next", "substring(s, depth + 2) AS rest"))
+    dropped = places.filter(fits("rest", "ahead")).select("back", "s", "node", "ends", "read", "rest")
+    tail = "substring(label, 2)"
+    replaced = (places.drop("ends", "ahead").join(graph, "node")
+                .filter(f"letter > next AND startswith(rest, {tail})")
+                .selectExpr(*_GONE_ON, "child_ahead", "substring(rest, length(label)) AS rest")
+                .filter(fits("rest", "child_ahead")).drop("child_ahead"))
+    return dropped.unionAll(replaced)
 
 
 def advanced(states: DataFrame, graph: DataFrame) -> DataFrame:
     """States that still have something to read, one edge further."""
-    met = graph.select("node", "letter", "label", "child", F.col("ends").alias("child_ends"))
-    return (states.filter("rest <> ''").withColumn("letter", F.left("rest", F.lit(1)))
-            .join(met, ["node", "letter"]).filter("startswith(rest, label)")
-            .selectExpr("back", "s", "child AS node", "child_ends AS ends", "read || label AS read",
-                        "substring(rest, length(label) + 1) AS rest"))
+    return (states.filter("rest <> ''").drop("ends").withColumn("letter", F.left("rest", F.lit(1)))
+            .join(graph, ["node", "letter"]).filter("startswith(rest, label)")
+            .selectExpr(*_GONE_ON, "child_ahead", "substring(rest, length(label) + 1) AS rest")
+            .filter(fits("rest", "child_ahead")).drop("child_ahead"))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -191,8 +194,11 @@ def neighbours(words: DataFrame) -> DataFrame:
     def forward(c: str) -> Column:
         return F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
 
-    pairs = found.select(forward("s").alias("word"), forward("read").alias("near")).distinct()
-    return pairs.join(words.select(F.col("word").alias("near")), "near", "left_semi")
+    pairs = found.select(forward("s").alias("word"), forward("read").alias("near"))
+    return (pairs.join(words.select(F.col("word").alias("near")), "near", "left_semi")
+            .select(F.inline(F.array(F.struct("word", "near"), F.struct(
+                F.col("near").alias("word"), F.col("word").alias("near")))))
+            .distinct())
 
 
 def roots(forms: DataFrame) -> DataFrame:
