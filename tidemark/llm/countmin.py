@@ -193,11 +193,8 @@ def merged(parts: DataFrame) -> DataFrame:
 
 def estimated_repeated(stored: DataFrame, sums: DataFrame, width: int, depth: int,
                        wide: int) -> DataFrame:
-    """block, h, g, least, place: windows that by the sketch more than one document has.
-
-    `place` is that among the distinct windows of the block, counted from 1, and negative if several
-    documents of the block have the window; `least` is the first of them.
-    """
+    """block, h, g, least, place: windows that by the sketch more than one document has, with the
+    least doc_id in the block, and their place among its distinct windows."""
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
         for name, packed in zip(docs.column("block").to_pylist(), docs.column("docs")):
@@ -213,11 +210,11 @@ def estimated_repeated(stored: DataFrame, sums: DataFrame, width: int, depth: in
                 bits = [np.unpackbits(np.frombuffer(t, np.uint8), count=n)
                         for (_, t), n in zip((x for x in twice if x[0] >> 40 == row), sizes)]
                 passed &= np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)[at]
-            place = np.flatnonzero(passed).astype(np.int32) + np.int32(1)
+            place = np.flatnonzero(passed).astype(np.int32)
             out.append(pa.table({
                 "block": pa.array(np.full(len(place), name)), "h": pa.array(signed(block.h[passed])),
                 "g": pa.array(block.g[passed].view(np.int32)), "least": pa.array(block.least[passed]),
-                "place": pa.array(np.where(block.shared[passed], -place, place))}))
+                "place": pa.array(place)}))
         return pa.concat_tables(out) if out else _PASSED.empty_table()
 
     return stored.select("block", "docs").groupBy("block").cogroup(sums.groupBy("block")) \
@@ -230,14 +227,13 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed"
                    ("text", pa.string())])
 
 
-def first_owners(passed: DataFrame) -> DataFrame:
-    """block, place, first: the least doc_id of each window, for blocks where a larger one has it.
+def met_before(passed: DataFrame) -> DataFrame:
+    """block, place: windows that a document has which comes before all that have it in the block.
 
     A window has at most one row a block, so no group outgrows the number of blocks.
     """
     first = F.min("least").over(Window.partitionBy("h", "g"))
-    return (passed.withColumn("first", first).filter("place < 0 OR first < least")
-            .select("block", F.abs("place").alias("place"), "first"))
+    return passed.withColumn("first", first).filter("first < least").select("block", "place")
 
 
 def without_earlier_windows(docs: DataFrame, width: int = 13, depth: int = 2, load: float = 0.125,
@@ -247,22 +243,25 @@ def without_earlier_windows(docs: DataFrame, width: int = 13, depth: int = 2, lo
     size = stored.agg(F.sum("bytes")).first()[0] or 0
     wide = sketch_width(size, load)
     sums = merged(sketches(stored.select("block", "docs"), width, depth, wide))
-    owners = first_owners(estimated_repeated(stored, sums, width, depth, wide))
+    before = met_before(estimated_repeated(stored, sums, width, depth, wide))
 
     def cut(docs: pa.Table, found: pa.Table) -> pa.Table:
-        place, first = (found.column(c).to_numpy() for c in ("place", "first"))
-        out = [_cut(packed.as_py(), width, place, first) for packed in docs.column("docs")]
+        out = [_cut(packed.as_py(), width, found.column("place").to_numpy())
+               for packed in docs.column("docs")]
         return pa.concat_tables(out) if out else _KEPT.empty_table()
 
-    return stored.select("block", "docs").groupBy("block").cogroup(owners.groupBy("block")) \
+    return stored.select("block", "docs").groupBy("block").cogroup(before.groupBy("block")) \
         .applyInArrow(cut, "doc_id long, n_words long, n_removed long, text string")
 
 
-def _cut(packed: bytes, width: int, place: np.ndarray, first: np.ndarray) -> pa.Table:
+def _cut(packed: bytes, width: int, before: np.ndarray) -> pa.Table:
+    """`before`: the windows that an earlier document outside has. The others belong to the first
+    document of the block that has them."""
     block = Block(packed, width)
-    owner = np.full(len(block.h), np.iinfo(np.int64).max)
-    owner[place - 1] = first
-    owner = owner[block.place]   # of each window that has a doc_id, in the order of the text
+    earlier = np.zeros(len(block.h), bool)
+    earlier[before] = True
+    # of each window that has a doc_id, in the order of the text
+    earlier, owner = earlier[block.place], block.least[block.place]
     ids, texts = opened(packed)
     known = np.asarray(ids.is_valid())
     doc = ids.fill_null(0).to_numpy()
@@ -271,7 +270,8 @@ def _cut(packed: bytes, width: int, place: np.ndarray, first: np.ndarray) -> pa.
         at, _, _ = windows(found, width)
         row = found.text[at] + a
         at, row = at[known[row]], row[known[row]]
-        gone = at[owner[done:done + len(at)] < doc[row]]
+        here = slice(done, done + len(at))
+        gone = at[earlier[here] | (owner[here] < doc[row])]
         done += len(at)
         step = np.zeros(len(found.hashes) + 1, np.int64)
         np.add.at(step, gone, 1)
