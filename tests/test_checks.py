@@ -55,13 +55,24 @@ def test_overlap_check(frame):
         (D(2026, 1, 1), D(2026, 1, 2))]
 
 
-def test_gate_names_all_short_tables(frame):
-    full, empty = frame([(1,)], "a long"), frame([], "a long")
-    tables = {"raw_orders": full, "stg_orders": empty, "fct_orders": full,
-              "mart_revenue_summary": empty}
+def test_gate_names_all_short_tables():
+    counts = {"raw_orders": 1, "stg_orders": 0, "fct_orders": 1, "mart_revenue_summary": 0}
     with pytest.raises(CheckFailed, match="stg_orders has 0 rows.*mart_revenue_summary has 0"):
-        quality.gate(tables)
-    quality.gate({name: full for name in tables})
+        quality.gate(counts)
+    quality.gate(dict.fromkeys(counts, 1))
+
+
+def test_checks_that_the_write_has_settled_are_not_run(frame):
+    tables = {n: frame([], "customer_id long, email string, updated_at timestamp, status string")
+              for layer in (quality.NOT_NULL, quality.UNIQUE, quality.ACCEPTED)
+              for n in layer["silver"]}
+    clean = {t: dict.fromkeys(quality.watch(t), 0) for t in tables}
+    assert set(quality.watch("stg_orders")) == {
+        "null order_id", "null customer_id", "null total_amount", "value status"}
+    assert "revenue_positive" in quality.watch("fct_orders")
+    for t, cols in quality.UNIQUE["silver"].items():
+        tables[t] = frame([], ", ".join(f"{c} string" for c in cols))
+    assert set(quality.column_checks(tables, "silver", clean)) == {"unique"}
 
 
 def test_require_none_reports_each_failed_check(frame):

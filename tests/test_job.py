@@ -33,7 +33,7 @@ def land_day(spark, landing, day):
 def lake(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     lake = job.Lakehouse(spark, str(root / "landing"), str(root / "tables"),
-                         ("1995-01-01", "2025-01-01"), key_span=1_000_000)
+                         ("1995-01-01", "2025-01-01"), chunk_rows=2_000)
     land_day(spark, lake.landing, 1)
     job.run_day(lake, RUNS[0])
     land_day(spark, lake.landing, 2)

@@ -4,14 +4,16 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from tidemark.plans.silver import CLEAN
 from tidemark.schemas import ENTITIES
 from tidemark.session import scratch_path
 from tidemark.sources import ndjson
-from tidemark.sources.tables import Table, key_range
-from tidemark.streaming.bronze import bronze, force_load, load_new_files, rejected
+from tidemark.sources.tables import Table
+from tidemark.streaming import bronze as streaming_bronze
+from tidemark.streaming.bronze import (
+    bronze, force_load, load_new_files, loads, raw_path, rejected, stored)
 from tidemark.streaming.silver import refresh_silver
 
 ORDERS, REVIEWS = ENTITIES["orders"], ENTITIES["reviews"]
@@ -166,9 +168,51 @@ def test_a_forced_load_appends_all_files_again(spark, tmp_path):
     assert CLEAN["orders"](bronze(spark, lake, ORDERS)).count() == 1
 
 
+def test_raw_tables_lie_by_day_and_a_day_reads_its_folders_alone(spark, tmp_path):
+    root, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    days = [dt.date(2026, 6, 3), dt.date(2026, 6, 4)]
+    for i, day in enumerate(days):
+        land(root, [order(i), "{broken"], day=day)
+    load_new_files(spark, root, lake, ORDERS, AT)
+    day = bronze(spark, lake, ORDERS, days[1])
+    assert rows(day, "order_id") == [(1,)]
+    text = plan(day)
+    assert "MetadataLogFileIndex" not in text and "PartitionFilters" in text
+    from urllib.parse import unquote
+    read = day._jdf.queryExecution().executedPlan().toString()
+    assert "day" in read[read.index("PartitionFilters"):]
+    assert len(day.select("order_id").inputFiles()) >= 1
+    files = {unquote(f).split("/rows/")[1].rsplit("/", 1)[0]
+             for f in stored(spark, lake, ORDERS).inputFiles()}
+    assert files == {f"_load=files-0/year=2026/month=6/day={d}/_status={s}"
+                     for d in (3, 4) for s in ("ok", "bad")}
+    assert [tuple(r) for r in loads(spark, lake, ORDERS).collect()] == [
+        ("files-0", 2, dt.datetime(2026, 6, 3, 6, 0, 0, 123456))]
+
+
+def test_a_load_that_broke_off_is_replaced(spark, tmp_path, monkeypatch):
+    """The rows are written, then the run dies before the batch is done; the next run repeats it."""
+    root, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    land(root, [order(1), order(2)])
+    kept = streaming_bronze._append
+
+    def dies(*args):
+        kept(*args)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(streaming_bronze, "_append", dies)
+    with pytest.raises(Exception, match="executor lost"):
+        load_new_files(spark, root, lake, ORDERS, AT)
+    monkeypatch.setattr(streaming_bronze, "_append", kept)
+    load_new_files(spark, root, lake, ORDERS, AT)
+    assert rows(bronze(spark, lake, ORDERS), "order_id") == [(1,), (2,)]
+    assert loads(spark, lake, ORDERS).agg({"row_count": "sum"}).first()[0] == 2
+    assert Path(raw_path(lake, ORDERS)).exists()
+
+
 def test_silver_stream_keeps_the_newest_of_late_and_repeated_batches(spark, tmp_path):
     root, lake = str(tmp_path / "in"), str(tmp_path / "lake")
-    table = Table(spark, scratch_path(spark, "stg"), key_range("order_id", 10))
+    table = Table(spark, scratch_path(spark, "stg"), "order_id", 10)
     batches = [(4, [order(1, 20.0, "2026-06-04T06:00:00")]),
                (3, [order(1, 10.0), order(2, 5.0), order(3, -1.0)]),     # older, comes later
                (5, [order(3, 3.0, "2026-06-05T06:00:00"), order(2, 0.0, "2026-06-05T06:00:00")])]
@@ -185,7 +229,7 @@ def test_silver_stream_keeps_the_newest_of_late_and_repeated_batches(spark, tmp_
 
 def test_a_forced_load_reaches_the_clean_table(spark, tmp_path):
     root, lake = str(tmp_path / "in"), str(tmp_path / "lake")
-    table = Table(spark, scratch_path(spark, "stg"), key_range("order_id", 10))
+    table = Table(spark, scratch_path(spark, "stg"), "order_id", 10)
     refresh_silver(spark, lake, ORDERS, table)                # nothing landed yet: an empty table
     assert table.read().count() == 0 and "status" in table.read().columns
     land(root, [order(1, 10.0)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import (
     DuplicateKeys, high_water_mark, latest, require_unique, since, sync_columns, upsert)
 from tidemark.session import scratch_path
-from tidemark.sources.tables import Table, key_range
+from tidemark.sources.tables import FIRST, NONE, Table, chunk_of
 
 T1, T2, T3 = (dt.datetime(2026, 1, d) for d in (1, 2, 3))
 SCHEMA = "id long, v string, _extracted_at timestamp_ntz"
@@ -83,41 +83,94 @@ def test_duplicate_source_keys_are_refused(frame):
         require_unique(frame([(1,), (1,)], "id long"), "id")
 
 
-def test_table_rewrites_touched_chunks_only(spark, frame):
-    table = Table(spark, scratch_path(spark, "table"), key_range("id", 10))
+def test_table_divides_by_its_keys_and_rewrites_touched_chunks_only(spark, frame):
+    table = Table(spark, scratch_path(spark, "table"), "id", chunk_rows=10)
     assert table.read() is None and not table.exists() and table.mark() is None
-    table.merge(frame([(1, "a", T1), (15, "b", T1), (25, "c", T1)], SCHEMA), "id")
-    table.merge(frame([(15, "B", T2), (16, "d", T2)], SCHEMA), "id")
-    assert rows(table.read(), "id", "v") == [(1, "a"), (15, "B"), (16, "d"), (25, "c")]
-    assert table.mark() == T2 == high_water_mark(table.read())
-    versions = {f.split("/data/")[1].rsplit("/", 1)[0] for f in table.read().inputFiles()}
-    assert versions == {"version=1/chunk=0", "version=2/chunk=1", "version=1/chunk=2"}
-    assert rows(table.read(["1"]), "id") == [(15,), (16,)]
+    table.merge(frame([(i, "a", T1) for i in range(100)], SCHEMA))
+    first = table._commits()
+    assert 8 <= len(first) <= 11 and {c["version"] for c in first.values()} == {1}
+    assert sum(c["rows"] for c in first.values()) == table.rows() == 100
+    table.merge(frame([(15, "B", T2), (16, "d", T2), (200, "e", T2)], SCHEMA))
+    assert table.rows() == 101 == table.read().count() and table.mark() == T2
+    assert rows(table.read().filter("v <> 'a'"), "id", "v") == [(15, "B"), (16, "d"), (200, "e")]
+    changed = [n for n, c in table._commits().items() if c["version"] == 2]
+    assert 2 <= len(changed) <= 3 and table.read(after=1).count() < 40
+    assert len([*table.read(changed).inputFiles()]) == len(changed)
+
+
+def test_random_keys_give_a_handful_of_chunks(spark):
+    table = Table(spark, scratch_path(spark, "table"), "id", chunk_rows=2000)
+    keys = spark.range(10_000).selectExpr("xxhash64(id) AS id", "id AS v")
+    table.merge(keys)
+    sizes = [c["rows"] for c in table._commits().values()]
+    assert 4 <= len(sizes) <= 6 and sum(sizes) == 10_000 and max(sizes) < 3000
+    table.merge(keys.filter("v < 3").withColumn("v", F.lit(-1).cast("long")))
+    assert sum(c["version"] == 2 for c in table._commits().values()) <= 3
+    assert table.read().count() == 10_000 and table.read().filter("v = -1").count() == 3
+    table.merge(spark.range(20_000, 30_000).selectExpr("xxhash64(id) AS id", "id AS v"))
+    assert table.rows() == 20_000 == table.read().select("id").distinct().count()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 7, 8, 100])
+def test_chunk_of_finds_the_last_border_not_above(frame, n):
+    borders = [10 * i - 30 for i in range(n)]
+    keys = [None, *range(-45, 10 * n, 3), *borders]
+    got = frame([(k,) for k in keys], "id long").select("id", chunk_of("id", borders)).collect()
+    for k, chunk in got:
+        below = [b for b in borders if k is not None and b <= k]
+        assert chunk == (NONE if k is None else str(below[-1]) if below else FIRST)
 
 
 def test_table_ignores_what_was_not_committed(spark, frame):
-    table = Table(spark, scratch_path(spark, "table"), key_range("id", 10))
-    table.merge(frame([(1, "a", T1)], SCHEMA), "id")
-    frame([(1, "lost", T2)], SCHEMA).write.parquet(f"{table.root}/data/version=2/chunk=0")
+    table = Table(spark, scratch_path(spark, "table"), "id")
+    table.merge(frame([(1, "a", T1)], SCHEMA))
+    frame([(1, "lost", T2)], SCHEMA).write.parquet(f"{table.root}/data/version=2/chunk=first")
     assert rows(table.read(), "v") == [("a",)]
-    table.merge(frame([(1, "next", T3)], SCHEMA), "id")
+    table.merge(frame([(1, "next", T3)], SCHEMA))
     assert rows(table.read(), "v") == [("next",)]
 
 
 def test_table_follows_the_columns_of_its_last_batch(spark, frame):
-    table = Table(spark, scratch_path(spark, "table"), key_range("id", 10))
-    table.merge(frame([(1, "a"), (11, "b")], "id long, gone string"), "id")
-    table.merge(frame([(1, 5)], "id long, fresh int"), "id")
-    assert rows(table.read()) == [(1, 5), (11, None)]
+    table = Table(spark, scratch_path(spark, "table"), "id", chunk_rows=1)
+    table.merge(frame([(i, "a") for i in range(9)], "id long, gone string"))
+    table.merge(frame([(1, 5)], "id long, fresh int"))
+    assert rows(table.read()) == sorted([(1, 5), *((i, None) for i in range(9) if i != 1)])
     assert table.read().columns == ["id", "fresh"]
 
 
 def test_table_refuses_duplicates_and_takes_empty_batches(spark, frame):
-    table = Table(spark, scratch_path(spark, "table"), key_range("id"))
-    table.merge(frame([], SCHEMA), "id")
-    assert table.read() is None
+    table = Table(spark, scratch_path(spark, "table"), "id")
+    table.merge(frame([], SCHEMA))
+    assert table.exists() and table.rows() == table.read().count() == 0
     with pytest.raises(DuplicateKeys):
-        table.merge(frame([(1, "a", T1), (1, "b", T1)], SCHEMA), "id")
+        table.merge(frame([(1, "a", T1), (1, "b", T1)], SCHEMA))
+    table.merge(frame([(1, "a", T1), (None, "n", T1)], SCHEMA))
+    table.merge(frame([], SCHEMA))
+    assert rows(table.read(), "id") == [(1,), (None,)]
+
+
+def test_the_write_counts_what_is_watched(spark, frame):
+    """Sums over the versions in use: zero is exact, more may be too many."""
+    table = Table(spark, scratch_path(spark, "table"), "id", chunk_rows=10)
+    watch = {"null v": F.col("v").isNull(), "value v": ~F.col("v").isin("a", "b")}
+    table.merge(frame([(i, "a", T1) for i in range(100)], SCHEMA), watch=watch)
+    assert table.watched() == {"null v": 0, "value v": 0}
+    table.merge(frame([(5, None, T2), (50, "x", T2)], SCHEMA), watch=watch)
+    assert table.watched() == {"null v": 1, "value v": 1}
+    table.merge(frame([(5, "b", T2), (50, "b", T2)], SCHEMA), watch=watch)
+    assert table.watched() == {"null v": 0, "value v": 0}
+    table.merge(frame([(5, "c", T3)], SCHEMA), watch={"null v": watch["null v"]})
+    assert table.watched() == {"null v": 0}     # not all versions have watched the other
+    table.replace_chunks({"first": frame([(1, None, T1)], SCHEMA)}, watch)
+    assert table.watched() == {"null v": 1, "value v": 0}     # and that version has no chunk now
+
+
+def test_rows_that_are_stored_already_are_left_out_on_request(spark, frame):
+    table = Table(spark, scratch_path(spark, "table"), "id")
+    table.merge(frame([(1, "a", T1, "then"), (2, None, T1, "then")], SCHEMA + ", looked_up string"))
+    table.merge(frame([(1, "a", T1, "now"), (2, None, T1, "now"), (3, "c", T1, "now")],
+                      SCHEMA + ", looked_up string"), same=["id", "v", "_extracted_at"])
+    assert rows(table.read(), "id", "looked_up") == [(1, "then"), (2, "then"), (3, "now")]
 
 
 def test_replace_takes_an_empty_table_and_several_chunks(spark, frame):

@@ -35,4 +35,4 @@ def per(amount: Column, count: Column) -> Column:
     The types leave 16 decimals to the quotient, enough for no tie to be rounded twice.
     """
     return F.round(
-        amount.cast("decimal(28,6)") / F.nullif(count.cast("decimal(20,0)"), F.lit(0)), 2)
+        amount.cast("decimal(30,8)") / F.nullif(count.cast("decimal(18,0)"), F.lit(0)), 2)

@@ -1,27 +1,26 @@
-"""Exact NTILE over a whole table without sorting the table.
+"""Exact NTILE over a whole table without a window over the whole table.
 
 The built-in `ntile` with no partition moves every row to one task. Which tile a row falls in
-depends only on the rows at the tile ends, so this operator finds those few rows exactly, by
-counting rows between cut points, and then labels all rows in place. Sampling only decides where
-the cut points lie, thus how much work is left, never the result.
+depends only on the rows at the tile ends. The sort positions of all rows are dealt to tasks by
+range and sorted there; one count a task tells in which task, and as which of its rows, the last row
+of each tile lies. These few rows are fetched, and all rows are labelled in place.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping
-from dataclasses import dataclass, field
-from functools import reduce
-from itertools import count
-from math import isqrt
+from dataclasses import dataclass
+from itertools import accumulate
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType
 
 from tidemark.session import materialize
 
-# A round narrows an interval many-fold; only rows in one and the same place stop that.
-MOST_ROUNDS = 30
+# Fixed value: `monotonically_increasing_id` counts the rows of a task in its low 33 bits.
+ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -32,26 +31,6 @@ class Order:
     descending: bool = False
 
 
-@dataclass
-class _Search:
-    """Search for the last row of each tile in one sort order."""
-
-    place: Column                                   # sort position of a row, as a struct
-    kind: DataType                                  # its type
-    ends: dict[int, int]                            # tile → rank of its last row
-    cuts: list[Any] = field(default_factory=list)   # sorted positions met so far
-    found: dict[int, Any] = field(default_factory=dict)
-
-    def literal(self, spot: Any) -> Column:
-        return F.struct(
-            *(F.lit(v).alias(n) for n, v in zip(("n", "k", "id"), spot))).cast(self.kind)
-
-    def slot(self) -> Column:
-        """Number of the interval between cut points that a row lies in."""
-        above = ((self.place > self.literal(c)).cast("int") for c in self.cuts)
-        return reduce(lambda a, b: a + b, above, F.lit(0))
-
-
 def tile_ends(rows: int, tiles: int) -> dict[int, int]:
     """Rank of the last row of each tile but the last one; the first `rows % tiles` hold one more."""
     size, extra = divmod(rows, tiles)
@@ -60,6 +39,7 @@ def tile_ends(rows: int, tiles: int) -> dict[int, int]:
 
 
 def _place(df: DataFrame, order: Order, id_col: str) -> Column:
+    """Sort position of a row, ascending."""
     key = F.col(order.column)
     low_null = F.when(key.isNull(), 0 if order.descending else 1).otherwise(
         1 if order.descending else 0)
@@ -69,121 +49,67 @@ def _place(df: DataFrame, order: Order, id_col: str) -> Column:
                     F.col(id_col).alias("id"))
 
 
-def _interval_counts(df: DataFrame, searches: list[_Search]) -> list[dict[int, int]]:
-    slots = df.select(F.inline(F.array(*(
-        F.struct(F.lit(i).alias("s"), s.slot().alias("slot")) for i, s in enumerate(searches)))))
-    counts: list[dict[int, int]] = [{} for _ in searches]
-    for row in slots.groupBy("s", "slot").count().collect():   # a few dozen rows
-        counts[row["s"]][row["slot"]] = row["count"]
-    return counts
-
-
-def _locate(counts: dict[int, int], rank: int) -> tuple[int, int, int]:
-    """(interval, rank inside it, rows in it) of a global rank."""
-    below = 0
-    for slot in sorted(counts):
-        if rank <= below + counts[slot]:
-            return slot, rank - below, counts[slot]
-        below += counts[slot]
-    raise AssertionError("rank lies beyond the table")
-
-
-def _in_slots(searches: list[_Search], slots: list[set[int]]) -> Column:
-    """Per search whose intervals hold the row: its number, the interval, and the place as `p<i>`."""
-    entries = []
-    for i, (s, inside) in enumerate(zip(searches, slots)):
-        if inside:
-            places = (other.place if j == i else F.lit(None).cast(other.kind)
-                      for j, other in enumerate(searches))
-            entries.append(F.when(s.slot().isin(sorted(inside)), F.struct(
-                F.lit(i).alias("s"), s.slot().alias("slot"),
-                *(p.alias(f"p{j}") for j, p in enumerate(places)))))
-    return F.inline(F.array_compact(F.array(*entries)))
-
-
-def _narrow(df: DataFrame, searches: list[_Search], wide: list[set[int]],
-            counts: list[dict[int, int]], sample_rows: int, seed: int) -> None:
-    """Cut points close around the wanted ranks in the wide intervals, from one sample of each."""
-    sizes = [sum(have[slot] for slot in slots) for slots, have in zip(wide, counts)]
-    share = reduce(lambda rest, i: F.when(F.col("s") == i, min(1.0, sample_rows / sizes[i]))
-                   .otherwise(rest), (i for i, n in enumerate(sizes) if n), F.lit(0.0))
-    picked = df.select(_in_slots(searches, wide)).filter(F.rand(seed) < share)
-    sample: dict[tuple[int, int], list[Any]] = {}
-    for row in picked.collect():   # about `sample_rows` rows a score
-        sample.setdefault((row["s"], row["slot"]), []).append(tuple(row[f"p{row['s']}"]))
-    for i, s in enumerate(searches):
-        cuts = set(s.cuts)
-        for rank in s.ends.values():
-            slot, inner, inside = _locate(counts[i], rank)
-            spots = sorted(sample.get((i, slot), []))
-            if spots:
-                middle, margin = inner * len(spots) // inside, isqrt(len(spots)) + 1
-                cuts |= {spots[max(0, middle - margin)],
-                         spots[min(len(spots) - 1, middle + margin)]}
-        s.cuts = sorted(cuts)
-
-
-def _rank_ends(df: DataFrame, searches: list[_Search], counts: list[dict[int, int]]) -> None:
-    """Find the rows at the tile ends, by ranking the intervals they lie in; one job for all."""
-    places = [{t: _locate(counts[i], rank)[:2] for t, rank in s.ends.items()}
-              for i, s in enumerate(searches)]
-    wanted = {(i, *spot) for i, where in enumerate(places) for spot in where.values()}
-    if not wanted:
-        return
-    # One window partition per score and interval, each of at most `rank_rows` rows.
-    by = [f"p{i}" for i in range(len(searches))]
-    ranked = (df.select(_in_slots(searches, [{slot for slot, _ in w.values()} for w in places]))
-              .withColumn("r", F.row_number().over(Window.partitionBy("s", "slot").orderBy(*by)))
-              .filter(reduce(lambda a, b: a | b, (
-                  (F.col("s") == i) & (F.col("slot") == slot) & (F.col("r") == r)
-                  for i, slot, r in sorted(wanted)))))
-    found = {(row["s"], row["slot"], row["r"]): tuple(row[f"p{row['s']}"])
-             for row in ranked.collect()}   # at most one row per tile and score
-    for i, (s, where) in enumerate(zip(searches, places)):
-        s.found = {t: found[(i, *spot)] for t, spot in where.items()}
-
-
-def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
-                 rank_rows: int = 1_000, sample_rows: int = 20_000) -> dict[str, Column]:
+def _literal(place: Any, kind: DataType) -> Column:
+    return F.struct(*(F.lit(v).alias(n) for n, v in zip(("n", "k", "id"), place))).cast(kind)
+
+
+def _sorted(df: DataFrame, places: list[Column], kinds: list[DataType]) -> DataFrame:
+    """s (number of the score), p0, p1, … (the place, under the score's own number), and `at`, which
+    counts up through the order of all rows, with gaps between tasks."""
+    entries = (F.struct(F.lit(i).alias("s"), *(
+        (place if j == i else F.lit(None).cast(kind)).alias(f"p{j}")
+        for j, kind in enumerate(kinds))) for i, place in enumerate(places))
+    by = ["s", *(f"p{i}" for i in range(len(places)))]
+    rows = df.select(F.inline(F.array(*entries)))
+    return materialize(rows.repartitionByRange(*by).sortWithinPartitions(*by)
+                       .withColumn("at", F.monotonically_increasing_id()), "places")
+
+
+def _nth(stored: DataFrame) -> tuple[int, Any]:
+    """Number of rows, and a function from the number of a row (from 0) to its `at`."""
+    counts = sorted(map(tuple, stored.groupBy(
+        F.shiftright("at", ROW_BITS).alias("task")).count().collect()))   # a row a task
+    before = [0, *accumulate(n for _, n in counts)]
+
+    def at(row: int) -> int:
+        i = bisect_right(before, row) - 1
+        return (counts[i][0] << ROW_BITS) + row - before[i]
+
+    return before[-1], at
+
+
+def tile_columns(df: DataFrame, id_col: str, scores: Mapping[str, Order],
+                 tiles: int = 5) -> dict[str, Column]:
     """An NTILE expression per entry of `scores`, to be put on the rows of `df`.
 
-    Keys must be numeric; equal keys are ordered by `id_col`, which is unique. `df` is read several
-    times and should be stored. A round takes a small sample and counts the table, once each for all
-    scores, and narrows each interval about 50-fold. The `rank_rows` or fewer rows that an interval
-    holds at last are ranked, for every tile end apart: no task ever ranks more, whatever the table.
+    Keys must be numeric; equal keys are ordered by `id_col`, which is unique. `df` is read more than
+    once and should be stored. One shuffle serves all scores, and carries their keys alone.
     """
-    total = df.count()
     places = [_place(df, o, id_col) for o in scores.values()]
-    searches = [_Search(p, df.select(p.alias("p")).schema["p"].dataType, tile_ends(total, tiles))
-                for p in places]
-
-    counts: list[dict[int, int]] = [{0: total} for _ in searches]
-    for seed in count(1):
-        wide = [{slot for rank in s.ends.values()
-                 for slot, _, inside in [_locate(counts[i], rank)] if inside > rank_rows}
-                for i, s in enumerate(searches)]
-        if not any(wide):
-            break
-        if seed > MOST_ROUNDS:
-            raise ValueError(f"{id_col} must be unique: many rows have one place in the order")
-        # A sample that misses an interval leaves it as wide; the next round draws again.
-        _narrow(df, searches, wide, counts, sample_rows, seed)
-        counts = _interval_counts(df, searches)
-
-    _rank_ends(df, searches, counts)
-
-    def label(s: _Search) -> Column:
+    kinds = [f.dataType for f in
+             df.select(*(p.alias(f"p{i}") for i, p in enumerate(places))).schema.fields]
+    stored = _sorted(df, places, kinds)
+    rows, at = _nth(stored)
+    total = rows // max(1, len(places))
+    last = {(i, t): at(i * total + rank - 1)
+            for i in range(len(places)) for t, rank in tile_ends(total, tiles).items()}
+    found = {r["at"]: r for r in stored.filter(
+        F.col("at").isin(list(last.values()))).collect()} if last else {}  # one a tile and score
+
+    def label(i: int) -> Column:
         # Tiles that would be empty (fewer rows than tiles) have no end; the rest count up.
         col = F.lit(max(1, min(total, tiles)))
-        for t in sorted(s.found, reverse=True):
-            col = F.when(s.place <= s.literal(s.found[t]), t).otherwise(col)
+        for s, t in sorted(last, reverse=True):
+            if s == i:
+                end = _literal(tuple(found[last[s, t]][f"p{i}"]), kinds[i])
+                col = F.when(places[i] <= end, t).otherwise(col)
         return col
 
-    return {name: label(s) for name, s in zip(scores, searches)}
+    return {name: label(i) for i, name in enumerate(scores)}
 
 
-def ntile_scores(df: DataFrame, id_col: str, scores: Mapping[str, Order], tiles: int = 5,
-                 **search: int) -> DataFrame:
+def ntile_scores(df: DataFrame, id_col: str, scores: Mapping[str, Order],
+                 tiles: int = 5) -> DataFrame:
     """The table with one NTILE column per entry of `scores`."""
     df = materialize(df, "ntile")
-    return df.withColumns(tile_columns(df, id_col, scores, tiles, **search))
+    return df.withColumns(tile_columns(df, id_col, scores, tiles))

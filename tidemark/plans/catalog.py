@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators import latest
+from tidemark.operators import advance, delta, distinct, is_current, latest
+from tidemark.operators.history import DIGEST, save_open
 from tidemark.plans import gold, marts, monitor, quality, reports
 from tidemark.plans.star import MONITOR_AT, REPORT_AT, Star
 from tidemark.schemas import STATUSES
-from tidemark.session import materialize
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +103,19 @@ def _scd2_current(s: Star) -> DataFrame:
         "customer_id", "dbt_scd_id", "dbt_valid_from", "is_current")
 
 
+@query("scd2_bucketed")
+def _scd2_bucketed(s: Star) -> DataFrame:
+    """Open versions lie in buckets of their key between the runs, closed ones apart."""
+    key, checks, live, closed = "customer_id", gold.CUSTOMER_CHECKS, None, []
+    for day in (1, 2, 3):
+        name = f"open_versions_{uuid.uuid4().hex}"
+        rows = materialize(advance(live, s.stg("customers", day), key, checks, testdata.RUN_AT[day]),
+                           "history")
+        closed.append(rows.filter(~is_current()))
+        live = save_open(rows.filter(is_current()), name, scratch_path(s.spark, name), key, checks, 8)
+    return reduce(DataFrame.unionByName, closed).unionByName(live.drop(DIGEST))
+
+
 # ── parts of marts, net variants ─────────────────────────────────────────────
 
 @query("customer_order_stats")
@@ -137,9 +152,36 @@ def _product_net(s: Star) -> DataFrame:
     return marts.mart_product_net(s.stg("order_items"))
 
 
+@query("mart_funnel_kept_up")
+def _funnel_kept_up(s: Star) -> DataFrame:
+    """The funnel of day 1, brought up to day 2 by the orders that day has changed or added."""
+    old, now = s.stg("orders", 1), s.stg("orders")
+    state = materialize(marts.funnel_state(old), "funnel")
+    new = materialize(now.filter(F.col("_extracted_at") > F.lit(testdata.DAYS[1]).cast("timestamp_ntz")), "new")
+    replaced = old.join(new.select("order_id"), "order_id", "left_semi")
+    gained = materialize(marts.funnel_changes(replaced, new), "gained")
+    return marts.funnel_of(delta.kept_up(state, gained, marts.FUNNEL_DAY))
+
+
+@query("customers_by_month")
+def _customers_by_month(s: Star) -> DataFrame:
+    """From bitmaps by day, of which those of late orders are merged in."""
+    orders = s.stg("orders")
+    late = F.col("order_id") % 10 == 0
+    daily = marts.customer_bitmaps(orders.filter(~late)).unionByName(
+        marts.customer_bitmaps(orders.filter(late)))
+    return marts.customers_by_month(distinct.merged(daily, order_day="order_day"))
+
+
 # ── reports ──────────────────────────────────────────────────────────────────
 
 query("report_daily_trend")(lambda s: reports.daily_trend(s.revenue, REPORT_AT))
+@query("report_daily_trend_by_month")
+def _trend_by_month(s: Star) -> DataFrame:
+    stored = gold.write_by_month(s.revenue, "order_date", scratch_path(s.spark, "revenue"))
+    return reports.daily_trend_by_month(stored, s.dim_date, REPORT_AT)
+
+
 query("report_top_products")(lambda s: reports.top_products(s.products))
 query("report_segment_mix")(lambda s: reports.segment_mix(s.customers))
 query("report_price_history")(lambda s: reports.price_history(s.dim_products))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import high_water_mark, since, sync_columns, upsert
 from tidemark.plans.catalog import query
+from tidemark.plans.job import Lakehouse, run_day
 from tidemark.plans.silver import CLEAN
-from tidemark.plans.star import Star
+from tidemark.plans.star import CALENDAR, Star
 from tidemark.schemas import ENTITIES
 from tidemark.session import scratch_path
 from tidemark.sources import ndjson, testdata
-from tidemark.sources.tables import Table, key_range
+from tidemark.sources.tables import Table
 from tidemark.streaming.bronze import bronze, force_load, load_new_files
 from tidemark.streaming.silver import refresh_silver
 
@@ -109,6 +110,24 @@ def _forced(s: Star) -> DataFrame:
     return bronze(s.spark, root, ORDERS)
 
 
+@query("bronze_variant")
+def _variant(s: Star) -> DataFrame:
+    """A field that nobody knew of when the days were loaded, read from the elements kept whole."""
+    landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "bronze")
+    for day in (1, 2):
+        orders = testdata.orders_on(s.spark, s.sf_dir, day).withColumn(
+            "channel", F.expr("IF(customer_id % 3 = 0, NULL, 'c' || customer_id % 7)"))
+        ndjson.write_ndjson(orders, landing, ORDERS, _date(day))
+        load_new_files(s.spark, landing, root, ORDERS, testdata.RUN_AT[day], whole=True)
+    return bronze(s.spark, root, ORDERS, more={"channel": "string"}).select(
+        "order_id", "total_amount", "channel")
+
+
+@query("bronze_day")
+def _bronze_day(s: Star) -> DataFrame:
+    return bronze(s.spark, _load(s, (1, 2)), ORDERS, _date(2)).drop("_load_id")
+
+
 @query("bronze_stamp")
 def _stamp(s: Star) -> DataFrame:
     batch = ndjson.stamp(s.raw("order_items"), testdata.RUN_AT[1])
@@ -143,10 +162,10 @@ def _schema_sync(s: Star) -> DataFrame:
 @query("upsert_stored")
 def _upsert_stored(s: Star) -> DataFrame:
     """The same merge through a stored table, of which only the touched chunks are rewritten."""
-    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), key_range("order_id", 4096))
+    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), "order_id", 4096)
     for day in (1, 2):
         new = since(s.raw("orders", day), table.mark())
-        table.merge(CLEAN["orders"](new), "order_id")
+        table.merge(CLEAN["orders"](new))
     return table.read()
 
 
@@ -154,7 +173,7 @@ def _upsert_stored(s: Star) -> DataFrame:
 def _silver_stream(s: Star) -> DataFrame:
     """Day 2 arrives before day 1: nothing is lost, and the newer rows stand."""
     landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "bronze")
-    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), key_range("order_id", 65536))
+    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), "order_id", 65536)
     for day in (2, 1):
         _land(s, "orders", (day,), landing)
         load_new_files(s.spark, landing, root, ORDERS, testdata.RUN_AT[day])
@@ -166,7 +185,7 @@ def _silver_stream(s: Star) -> DataFrame:
 def _silver_forced(s: Star) -> DataFrame:
     """Day 2 is loaded by force only, and reaches the clean table."""
     landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "bronze")
-    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), key_range("order_id", 65536))
+    table = Table(s.spark, scratch_path(s.spark, "stg_orders"), "order_id", 65536)
     _land(s, "orders", (1,), landing)
     load_new_files(s.spark, landing, root, ORDERS, testdata.RUN_AT[1])
     refresh_silver(s.spark, root, ORDERS, table)
@@ -174,3 +193,42 @@ def _silver_forced(s: Star) -> DataFrame:
     force_load(s.spark, landing, root, ORDERS, "late", testdata.RUN_AT[2])
     refresh_silver(s.spark, root, ORDERS, table)
     return table.read()
+
+
+@query("silver_late")
+def _silver_late(s: Star) -> DataFrame:
+    """An incremental entity whose second day is loaded before its first, and the first once more by
+    force: none of its rows is lost, and none comes twice."""
+    landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "bronze")
+    lines = ENTITIES["order_items"]
+    table = Table(s.spark, scratch_path(s.spark, "stg_order_items"), "order_item_id", 20_000)
+    late = F.col("order_id") % 4 == 0
+    for day, some in ((2, ~late), (1, late)):
+        ndjson.write_ndjson(s.raw("order_items").dropDuplicates(["order_item_id"]).filter(some),
+                            landing, lines, _date(day))
+        load_new_files(s.spark, landing, root, lines, testdata.RUN_AT[day])
+        refresh_silver(s.spark, root, lines, table)
+    force_load(s.spark, landing, root, lines, "again", testdata.RUN_AT[2])
+    refresh_silver(s.spark, root, lines, table)
+    return table.read().select("order_item_id", "order_id")
+
+
+@query("job_two_days")
+def _job(s: Star) -> DataFrame:
+    """The whole job over two days of files: what it knows of its tables at the end."""
+    at = {day: dt.datetime.fromisoformat(text) for day, text in testdata.RUN_AT.items()}
+    lake = Lakehouse(s.spark, scratch_path(s.spark, "landing"), scratch_path(s.spark, "lake"),
+                     CALENDAR)
+    orders = testdata.orders_on(s.spark, s.sf_dir, 1).filter("total_amount > 0")
+    first = ndjson.stamp(s.raw("order_items").dropDuplicates(["order_item_id"])
+                         .join(orders, "order_id", "left_semi"), f"{testdata.DAYS[1]} 00:00:00")
+    for day in (1, 2):
+        _land(s, "customers", (day,), lake.landing)
+        _land(s, "products", (day,), lake.landing)
+        _land(s, "orders", (day,), lake.landing)
+        if day == 1:
+            ndjson.write_ndjson(first, lake.landing, ENTITIES["order_items"], _date(1))
+            _land(s, "reviews", (1,), lake.landing)
+        health = run_day(lake, at[day])
+    return health.select("table_name", "layer", "row_count", "last_loaded_at").withColumn(
+        "last_loaded_at", F.col("last_loaded_at").cast("string"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import snapshot
 
@@ -65,8 +65,8 @@ def dim_date(spine: DataFrame) -> DataFrame:
 
 
 def _days(dates: DataFrame) -> DataFrame:
-    """Day to key, broadcast: a calendar has 366 rows a year, whatever the facts grow to."""
-    return F.broadcast(dates.selectExpr("date_key", "full_date AS _day"))
+    """Day to key; adaptive execution broadcasts the calendar once it has proved small."""
+    return dates.selectExpr("date_key", "full_date AS _day")
 
 
 def _with_day(facts: DataFrame, ts: str, dates: DataFrame) -> DataFrame:
@@ -116,3 +116,28 @@ def fct_reviews(reviews: DataFrame, customers: DataFrame, products: DataFrame,
         "review_id", "order_id", "product_id", "product_key", "product_title", "category",
         "customer_id", "customer_key", "customer_name", "date_key AS review_date_key",
         "reviewed_at", "rating", "review_text", "sentiment", "_extracted_at")
+
+
+# ── storage by month ─────────────────────────────────────────────────────────
+
+MONTH = "month_key"
+
+
+def month_key(day: str) -> Column:
+    return F.year(day) * 100 + F.month(day)
+
+
+def write_by_month(rows: DataFrame, day: str, path: str) -> DataFrame:
+    """Store rows in a folder a month of their day; rows of a month are brought together first."""
+    (rows.withColumn(MONTH, month_key(day)).hint("rebalance", F.col(MONTH))
+     .write.mode("overwrite").partitionBy(MONTH).parquet(path))
+    return rows.sparkSession.read.schema(
+        rows.withColumn(MONTH, month_key(day)).schema).parquet(path)
+
+
+def on_days(stored: DataFrame, day: str, dates: DataFrame) -> DataFrame:
+    """Rows of `write_by_month` on the given days of the calendar. The months are known only when the
+    calendar has been filtered: the scan waits for them and opens no other folder."""
+    days = dates.select(month_key("full_date").alias("_month"), F.col("full_date").alias("_day"))
+    return stored.join(days, (F.col(MONTH) == F.col("_month")) & (F.col(day) == F.col("_day"))) \
+        .drop("_month", "_day", MONTH)

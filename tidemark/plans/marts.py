@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import money, ntz, per, plain, to_day, units
-from tidemark.operators import Order, tile_columns
+from tidemark.operators import Order, delta, distinct, tile_columns
 from tidemark.schemas import STATUSES
 from tidemark.session import materialize
 
@@ -175,7 +175,7 @@ def customer_order_stats(orders: DataFrame) -> DataFrame:
             .withColumn("lifetime_value", plain(F.col("lifetime_value"))))
 
 
-def rfm_scores(stats: DataFrame, high_is_good: bool = False, **search: int) -> DataFrame:
+def rfm_scores(stats: DataFrame, high_is_good: bool = False) -> DataFrame:
     """Recency, frequency and monetary value in fifths, for customers with an order that counts.
 
     As given, 1 is the most recent, most frequent and highest fifth; `high_is_good` turns the
@@ -184,7 +184,7 @@ def rfm_scores(stats: DataFrame, high_is_good: bool = False, **search: int) -> D
     scores = tile_columns(stats.filter("frequency IS NOT NULL"), "customer_id", {
         "recency_score": Order("recency_days", descending=high_is_good),
         "frequency_score": Order("frequency", descending=not high_is_good),
-        "monetary_score": Order("monetary", descending=not high_is_good)}, **search)
+        "monetary_score": Order("monetary", descending=not high_is_good)})
     counts = F.col("frequency").isNotNull()
     return stats.withColumns({name: F.when(counts, col) for name, col in scores.items()})
 
@@ -204,8 +204,8 @@ def rfm_score() -> Column:
 
 
 def mart_customer_orders(customers: DataFrame, orders: DataFrame, as_of: dt.datetime | str,
-                         high_is_good: bool = False, **search: int) -> DataFrame:
-    stats = rfm_scores(materialize(customer_stats(orders, as_of), "rfm"), high_is_good, **search)
+                         high_is_good: bool = False) -> DataFrame:
+    stats = rfm_scores(materialize(customer_stats(orders, as_of), "rfm"), high_is_good)
     stats = stats.withColumns({"lifetime_value": plain(F.col("lifetime_value")),
                                "monetary": plain(F.col("monetary"))})
     return (
@@ -218,15 +218,47 @@ def mart_customer_orders(customers: DataFrame, orders: DataFrame, as_of: dt.date
 
 # ── funnel ───────────────────────────────────────────────────────────────────
 
-def mart_order_funnel(orders: DataFrame) -> DataFrame:
-    status, total = F.col("status"), money("total_amount")
-    days = orders.groupBy(to_day(F.col("order_date")).alias("order_day")).agg(
-        F.count("order_id").alias("total_orders"),
-        *(_count_if(status == s).alias(s) for s in STATUSES),
-        F.sum(F.when(status == "delivered", total).otherwise(0)).alias("_delivered"))
-    return days.select(
+def _funnel_values() -> dict[str, Column]:
+    status = F.col("status")
+    return {**{s: F.when(status == s, 1).otherwise(0).cast("long") for s in STATUSES},
+            "total_orders": F.when(F.col("order_id").isNotNull(), 1).otherwise(0).cast("long"),
+            "_delivered": F.when(status == "delivered", money("total_amount"))}
+
+
+FUNNEL_DAY = ["order_day"]
+
+
+def funnel_state(orders: DataFrame) -> DataFrame:
+    """The sums that the funnel is made of, by day."""
+    return delta.sums(orders, {"order_day": to_day(F.col("order_date"))}, _funnel_values())
+
+
+def funnel_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What these sums gain when some orders are replaced, added or taken away."""
+    return delta.changes(before, after, {"order_day": to_day(F.col("order_date"))}, _funnel_values())
+
+
+def funnel_of(state: DataFrame) -> DataFrame:
+    return state.select(
         "order_day", "total_orders", *STATUSES,
         plain(F.col("_delivered")).alias("delivered_revenue"),
         _percent(F.col("delivered"), F.col("total_orders")).alias("delivery_rate_pct"),
         _percent(F.col("cancelled"), F.col("total_orders")).alias("cancellation_rate_pct"),
     ).orderBy("order_day")
+
+
+def mart_order_funnel(orders: DataFrame) -> DataFrame:
+    return funnel_of(funnel_state(orders))
+
+
+# ── customers of a period, from those of its days ────────────────────────────
+
+def customer_bitmaps(orders: DataFrame) -> DataFrame:
+    """The customers of each day as bitmaps, to be stored by day and merged to any period."""
+    return distinct.bitmaps(orders.select(to_day(F.col("order_date")).alias("order_day"), "customer_id"),
+                            ["order_day"], "customer_id")
+
+
+def customers_by_month(daily: DataFrame) -> DataFrame:
+    monthly = distinct.merged(daily, year="year(order_day)", month="month(order_day)")
+    return distinct.counts(monthly, ["year", "month"], "customers")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import money, ntz, per, plain, to_day
+from tidemark.plans import gold
 
 
 def _down(name: str) -> Column:
@@ -18,17 +19,28 @@ def _up(name: str) -> Column:
 
 
 def _sum(name: str) -> Column:
-    return F.sum(F.col(name).cast("decimal(28,2)"))
+    return F.sum(money(name))
 
 
 def _avg(name: str) -> Column:
     """Mean of an amount or count, two decimals."""
-    return plain(per(F.sum(F.col(name).cast("decimal(28,6)")), F.count(name)))
+    return plain(per(F.sum(money(name)), F.count(name)))
 
 
 def daily_trend(revenue: DataFrame, as_of: dt.datetime | str, days: int = 30) -> DataFrame:
     first = F.date_sub(to_day(ntz(as_of)), days)
-    return (revenue.filter(F.col("order_date") >= first).groupBy("order_date")
+    return _trend(revenue.filter(F.col("order_date") >= first))
+
+
+def daily_trend_by_month(stored: DataFrame, dates: DataFrame, as_of: dt.datetime | str,
+                         days: int = 30) -> DataFrame:
+    """The same over a mart stored by `gold.write_by_month`: the calendar prunes its months."""
+    first = F.date_sub(to_day(ntz(as_of)), days)
+    return _trend(gold.on_days(stored, "order_date", dates.filter(F.col("full_date") >= first)))
+
+
+def _trend(revenue: DataFrame) -> DataFrame:
+    return (revenue.groupBy("order_date")
             .agg(_sum("gross_revenue").alias("_r"), F.sum("total_orders").alias("total_orders"))
             .select("order_date", plain(F.col("_r")).alias("total_revenue"), "total_orders",
                     plain(per(F.col("_r"), F.col("total_orders"))).alias("avg_order_value"))
@@ -71,12 +83,12 @@ def month_over_month(revenue: DataFrame) -> DataFrame:
         _sum("gross_revenue").alias("_now"), F.sum("total_orders").alias("monthly_orders"))
     before = F.lag("_now").over(
         Window.partitionBy("category").orderBy(_up("year"), _up("month")))
-    growth = ((F.col("_now") - F.col("_before")) * 100).cast("decimal(24,2)")
+    growth = ((F.col("_now") - F.col("_before")) * 100).cast("decimal(26,8)")
     return (months.withColumn("_before", before)
             .select("year", "month", "month_name", "category",
                     plain(F.col("_now")).alias("monthly_revenue"), "monthly_orders",
                     plain(F.round(
-                        growth / F.nullif(F.col("_before").cast("decimal(24,2)"), F.lit(0)), 2))
+                        growth / F.nullif(F.col("_before").cast("decimal(26,8)"), F.lit(0)), 2))
                     .alias("revenue_growth_pct"))
             .orderBy(_down("year"), _down("month"), _down("monthly_revenue"), "category"))
 
@@ -97,7 +109,7 @@ def price_delta(items: DataFrame, dim_products: DataFrame, n: int | None = 20) -
 def segment_revenue(customers: DataFrame) -> DataFrame:
     return (customers.groupBy("customer_segment")
             .agg(F.count(F.lit(1)).alias("customers"),
-                 plain(_sum("lifetime_value")).alias("total_revenue"),
+                 plain(F.round(_sum("lifetime_value"), 2)).alias("total_revenue"),
                  _avg("lifetime_value").alias("avg_ltv"))
             .orderBy(_down("total_revenue"), "customer_segment"))
 

@@ -86,17 +86,18 @@ def products_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
 
 
 def orders_on(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """Totals have three decimals, so that it shows where a report rounds what goes into it."""
     orders = table(spark, sf_dir, "orders")
     status = """CASE o_orderpriority WHEN '1-URGENT' THEN ' Pending ' WHEN '2-HIGH' THEN 'CONFIRMED'
         WHEN '3-MEDIUM' THEN 'shipped' WHEN '5-LOW' THEN 'cancelled' ELSE 'delivered' END"""
-    total = """IF(o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P', -o_totalprice,
-        o_totalprice)"""
+    price = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 0.005BD AS DOUBLE)"
+    total = f"IF(o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P', -{price}, {price})"
     ident = "o_orderkey"
     if day == 2:
         new = "(o_orderpriority = '5-LOW' AND o_orderstatus = 'P')"
         orders = orders.filter(f"o_orderpriority IN ('1-URGENT', '2-HIGH') OR {new}")
         status = f"IF(o_orderpriority = '1-URGENT', 'DELIVERED', {status})"
-        total = "IF(o_orderpriority = '2-HIGH', 0D, o_totalprice)"
+        total = f"IF(o_orderpriority = '2-HIGH', 0D, {price})"
         ident = f"IF({new}, o_orderkey + {NEW_ORDER_IDS}, o_orderkey)"
     return orders.selectExpr(
         f"{ident} AS order_id", "o_custkey AS customer_id", "o_orderdate AS order_date",
