@@ -9,11 +9,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from test_llm import SCHEMA, made, raw
 
 from tidemark.llm import countmin, prefixtree, spelling
+from tidemark.llm.encoding import Encoder
 from tidemark.llm.words import windows, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -252,3 +254,31 @@ def test_variants(spark, letters, least, times):
 
 def test_no_documents_have_no_variants(none):
     assert spelling.variants(none).count() == 0
+
+
+# ── the encoder ──────────────────────────────────────────────────────────────
+
+PARTS = ["hello", "Hello.", "World,", "naïve", "Straße.", "don't", "a.b", "x1", "...", ",", "Ω.", "é,",
+         "İstanbul,", "ǅ", "ʼn.", "a..", "b.,", "<|endoftext|>", "<|startoftext|>", "ⅷ", "日本", "😀",
+         "ﬁn.", "\u200b", "_x", "ªº.", "e\u0301", "\x00"]
+GAPS = [" ", "  ", "\n", " \n", "\t", "\xa0", " \u3000", "\x1c", "\r\n", " ", " ", " "]
+
+
+@pytest.mark.parametrize("file, kind, known", [
+    ("word_bpe_49k.json", "word", True), ("byte_bpe_50k.json", "byte", True),
+    ("word_bpe_49k.json", "byte", False), ("byte_bpe_50k.json", "word", False)])
+def test_ids_are_those_of_the_library(file, kind, known):
+    """Random texts in batches, through a memo that is emptied again and again."""
+    from tokenizers import Tokenizer
+    rng = random.Random(hash(file) % 7)
+    path = public_tokenizers.path(file)
+    library, own = Tokenizer.from_file(path), Encoder(path, kind, most_words=60)
+    assert own.known == known
+    texts = ["", ".", ",", " ", "a.", " a.", *("".join(
+        rng.choice(PARTS) + rng.choice(GAPS) for _ in range(rng.randint(0, 12))) for _ in range(3000))]
+    for a in range(0, len(texts), 251):
+        part = texts[a:a + 251]
+        ids, n = own.encode([t.encode() for t in part])
+        want = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        assert n.tolist() == list(map(len, want))
+        assert ids.tolist() == [x for ids_ in want for x in ids_]
