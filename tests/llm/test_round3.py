@@ -282,3 +282,97 @@ def test_ids_are_those_of_the_library(file, kind, known):
         want = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
         assert n.tolist() == list(map(len, want))
         assert ids.tolist() == [x for ids_ in want for x in ids_]
+
+
+# ── stages over rows with columns of any name ────────────────────────────────
+
+ODD = ("doc_id long, text string, source string, `__key` int, `__n` int, row string, key string, "
+       "spans string, copies int, own int, content int")
+
+
+def odd(rows) -> list[tuple]:
+    return [(i, t, s, k, 2, "r", "k", "s", 3, 4, 5) for k, (i, t, s) in enumerate(rows)]
+
+
+def test_stages_keep_all_columns_whatever_they_are_called(spark):
+    from tidemark.llm import minmax, mixing, quality, repeats
+    rng = random.Random(1)
+    text = lambda n: " ".join(rng.choice(["red", "blue", "tall", "small"]) + str(rng.randint(0, 99))
+                              for _ in range(n))
+    same = text(120)
+    rows = odd([(1, text(80), "a"), (2, same + " x", "b"), (3, same + " y", "a"), (4, None, None),
+                (5, "", "a"), (None, text(9), "a")])
+    docs = spark.createDataFrame(rows, ODD).repartition(3)
+    cut = {r.doc_id: r for r in repeats.without_repeats(docs, length=300).collect()}
+    assert cut[1] == rows[0] and cut[4].text is None and cut[5].text == ""
+    assert (cut[2].text, cut[3].text) == ("x", "y") or len(cut[2].text) < 5
+    mixed = mixing.remixed(docs, entropy=0.9)
+    assert mixed.columns == docs.columns and set(map(tuple, mixed.collect())) <= set(rows)
+    trees = quality.fit(np.zeros((4, len(quality.statistics(b"")))), np.array([0., 1, 0, 1]), np.ones(4))
+    assert by_text(quality.keep_good(docs, trees, cut=0.0).collect()) == by_text(rows)
+    assert quality.keep_good(docs, trees, cut=1.1).count() == 0
+    assert minmax.one_of_each(docs).columns == docs.columns
+
+
+def test_one_of_each_drops_equal_rows_and_near_copies_alone(spark):
+    from tidemark.llm import minmax
+    rng = random.Random(2)
+    words_ = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(200)]
+    base, near_, other = " ".join(words_), " ".join(words_[:-1]), " ".join(words_[::-1])
+    rows = [(1, base, "web"), (1, base, "news"), (1, base, "news"), (2, "", "web"), (2, "", "news"),
+            (3, near_, "web"), (5, near_, "web"), (5, other, "web"), (7, other, "web"),
+            (8, None, "x"), (None, "no id here at all", "x"), (None, "nor one in this text", "x")]
+    got = minmax.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert by_text(got.collect()) == by_text([
+        (1, base, "web"), (1, base, "news"), (2, "", "web"), (2, "", "news"), (5, other, "web"),
+        (8, None, "x"), (None, "no id here at all", "x"), (None, "nor one in this text", "x")])
+    one = [(1, base, "a"), (1, near_, "a"), (2, base, "a")]   # both texts of the id are alike
+    got = minmax.one_of_each(spark.createDataFrame(one, "doc_id long, text string, source string"))
+    assert got.count() == 1 and got.first().doc_id == 1
+
+
+def plain_fingerprint(text: str) -> str:
+    """Order min hash by its definition: the least occurrence-numbered k-mers, in their order."""
+    from tidemark.llm import orderhash
+    flat = orderhash.kmers(text.encode())
+    out = orderhash.fingerprints([flat])[0]
+    return out.astype(">u4").tobytes().hex()
+
+
+def test_fingerprints_of_texts_and_of_edited_texts(spark):
+    from tidemark.llm import orderhash
+    docs = spark.createDataFrame(made(), SCHEMA).repartition(7)
+    got = orderhash.with_edits(docs).collect()
+    order = sorted(raw(made()), key=lambda r: (r[0] is not None, r[0] or 0))
+    assert sorted(r.n_chars for r in got) == sorted(len(t) for _, t in order)
+    by_id = {r.doc_id: r for r in got if r.doc_id is not None and r.doc_id != 3}
+    texts = dict(order)
+    ids = [i for i, _ in order if i is not None]
+    for i, r in by_id.items():
+        assert r.fingerprint == plain_fingerprint(texts[i])
+        at = ids.index(i) + 1
+        if at < len(ids) and ids[at] != 3:
+            new = orderhash.edited(texts[i], texts[ids[at]])
+            assert r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+            assert r.edited_fingerprint == plain_fingerprint(new)
+            assert r.near_next == sum(
+                a == b for a, b in zip(*(np.frombuffer(bytes.fromhex(plain_fingerprint(texts[x])), ">u4")
+                                         for x in (i, ids[at])))) / 64
+
+
+def test_tokens_are_counted_and_found_in_the_files(spark):
+    from tokenizers import Tokenizer
+
+    from tidemark.llm import wavelet
+    from tidemark.session import scratch_path
+    path, shards = public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "shards")
+    rows = [r for r in made() if r[0] is not None][:40]
+    wavelet.write_shards(spark.createDataFrame(rows, SCHEMA).repartition(3), path, shards, shard_tokens=500)
+    library = Tokenizer.from_file(path)
+    ids = {r[0]: library.encode(r[1] or "", add_special_tokens=False).ids + [2] for r in rows}
+    wanted = [2, *(t for t, _ in Counter(x for v in ids.values() for x in v).most_common(5)), 48999]
+    want = sorted((i, t, k) for i, v in ids.items() for k, t in enumerate(v) if t in set(wanted))
+    wanted = sorted(set(wanted))
+    assert sorted(map(tuple, wavelet.occurrences(spark, shards, wanted).collect())) == want
+    n = Counter(t for _, t, _ in want)
+    assert dict(map(tuple, wavelet.counts(spark, shards, wanted).collect())) == {t: n[t] for t in wanted}

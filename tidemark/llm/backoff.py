@@ -24,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import fold, mix, portions, texts, two
+from tidemark.llm.common import keeps, fold, mix, portions, texts, two
 from tidemark.session import materialize
 
 END, START = np.uint64(1), np.uint64(2)  # no word hashes to these in practice
@@ -41,6 +41,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+keeps("backoff", _hashes.clear)
 
 
 def tokens(text: bytes) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,26 @@ def texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").to_pylist()
 
 
-def portions(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that what is made of a batch stays small."""
+#: How to empty what an operator keeps in a Python worker from task to task, by operator.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, empty: Callable[[], None]) -> None:
+    _kept[operator] = empty
+
+
+def forget(all_but: str | None = None) -> None:
+    """Empty what other operators have left in this worker: workers outlive stages."""
+    for operator, empty in _kept.items():
+        if operator != all_but:
+            empty()
+
+
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 256,
+             keep: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of a batch stays small. The task begins
+    with what operator `keep` has kept in its worker, and nothing else."""
+    forget(keep)
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

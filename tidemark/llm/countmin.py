@@ -29,7 +29,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import mix, signed, slices, two
+from tidemark.llm.common import forget, mix, signed, slices, two
 from tidemark.llm.words import Words, windows, words
 from tidemark.session import materialize
 
@@ -42,6 +42,7 @@ _PORTION = 1 << 20
 def blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """block, bytes, docs: documents in compressed blocks, numbered by the task that reads them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         task, made = TaskContext.get().partitionId(), 0
         pack = zstandard.ZstdCompressor(level=3)
         held: list[pa.RecordBatch] = []

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tidemark.llm.common import ranges
+from tidemark.llm.common import keeps, ranges
 
 #: A blank before a byte that is, or may begin, white space of any script.
 _LOOKS_AHEAD = re.compile(rb" [\x09-\x0d\x1c-\x20\xc2\xe1-\xe3]")
@@ -56,6 +56,9 @@ def encoder(path: str, kind: str) -> Encoder:
     return Encoder(path, kind)
 
 
+keeps("encoding", encoder.cache_clear)
+
+
 def _byte_letters() -> dict[int, str]:
     """The character that stands for each byte: itself if printable, else one from 256 onwards."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import mix, portions, ranges, signed, slices, texts, two
+from tidemark.llm.common import keeps, mix, portions, ranges, signed, slices, texts, two
 from tidemark.session import materialize
 
 BANDS, ROWS = 20, 5
@@ -51,6 +51,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+keeps("minmax", _hashes.clear)
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -105,26 +106,27 @@ def bands(values: np.ndarray) -> np.ndarray:
 def signed_docs(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, node and node2 (the digest; null without shingles), keys (of bands)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, 1024):
+        for batch in portions(batches, 256, "minmax"):
             sets = [shingles(t, width) for t in texts(batch)]
             full = [s for s in sets if len(s)]
             keys = iter(signed(bands(signatures(full))).tolist() if full else [])
             a, b = digests(sets)
             none = np.array([len(s) == 0 for s in sets], bool)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("content"),
+                 pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(signed(a), mask=none), pa.array(signed(b), mask=none),
                  pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "node", "node2", "keys"])
+                ["doc_id", "content", "n_shingles", "node", "node2", "keys"])
 
-    return two(docs).mapInArrow(
-        run, "doc_id long, n_shingles long, node long, node2 long, keys array<long>")
+    return two(docs).withColumn("content", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, content long, n_shingles long, node long, node2 long, keys array<long>")
 
 
 def stored_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """The full sets (sorted 64-bit hashes) of the classes `wanted` (node, rep)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, 1024):
+        for batch in portions(batches, 256, "minmax"):
             sets = [shingles(t, width) for t in texts(batch)]
             nodes = signed(digests(sets)[0])
             # two rows can share an id: only the one whose set it is counts
@@ -289,11 +291,16 @@ def _settled(members: DataFrame, sets: DataFrame, percent: int, classes: int, sh
 
 
 def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; a row for each row of `docs`.
+    """doc_id, n_shingles, component_id, kept; a row for each row of `docs`, none for an empty table.
 
     component_id is the smallest doc_id that links lead to, the own one included; `kept` marks the
     row that has it.
     """
+    return _components(docs, width, percent).drop("content")
+
+
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The same with `content`, a hash of the text."""
     rows = materialize(signed_docs(docs, width), "minmax")
     classes = materialize(
         rows.filter("n_shingles > 0").groupBy("node", "node2")
@@ -358,17 +365,26 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     out = rows.join(found, ["node", "node2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "content")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs`, all columns, one of each component: that of the smallest doc_id.
 
-    Equal rows are one row here; rows without words all stay.
+    Rows without words all stay, and so do rows of one id and text that differ in another column;
+    equal rows are one row. Rows without an id stay if their component has no id at all.
     """
-    kept = components(docs, width, percent).filter("kept").select(
-        F.col("doc_id").alias("__kept")).distinct()
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
-
-
+    found = _components(docs, width, percent).filter("kept").groupBy(
+        "doc_id", "content", (F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).alias("told")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    # two texts under the smallest doc_id of their component: the one of the smaller hash stays
+    one = found.filter("told").groupBy("doc_id").agg(
+        F.min(F.struct("content", "rows")).alias("one")).select("doc_id", "one.*")
+    kept = materialize(one.unionAll(found.filter("NOT told").drop("told")), "kept")
+    # the row is one column until the end, so that no name of its own can clash
+    own = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")).cast("binary"))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("own", own)
+    same = F.expr("CAST(row.doc_id AS LONG) <=> doc_id AND own = content")
+    once = rows.join(kept.filter("rows = 1"), same, "left_semi").select("row.*")
+    more = rows.join(kept.filter("rows > 1"), same, "left_semi").select("row.*")
+    return once.unionAll(more.dropDuplicates())

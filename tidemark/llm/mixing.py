@@ -143,9 +143,8 @@ def remixed(docs: DataFrame, **target: float) -> DataFrame:
     Rows that agree in doc_id and source are taken as often as the one of them taken most.
     """
     copies = mixed(docs, **target).filter("copies > 0").groupBy("doc_id", "source").agg(
-        F.max("copies").alias("__copies")).select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__copies")
-    held = docs.join(copies, F.expr(
-        "CAST(doc_id AS LONG) <=> __id AND CAST(source AS STRING) <=> __source"))
-    return held.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop(
-        "__id", "__source", "__copies", "__n")
+        F.max("copies").alias("copies"))
+    # the row is one column until the end, so that no name of its own can clash
+    held = docs.select(F.struct("*").alias("row")).join(copies, F.expr(
+        "CAST(row.doc_id AS LONG) <=> doc_id AND CAST(row.source AS STRING) <=> source"))
+    return held.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -19,10 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import mix, portions, slices, two
+from tidemark.llm.common import keeps, mix, portions, slices, two
 from tidemark.session import materialize
 
 K, ORDER, TUPLES = 3, 2, 64
@@ -40,6 +41,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+keeps("orderhash", _hashes.clear)
 
 
 def kmers(text: bytes) -> np.ndarray:
@@ -116,13 +118,18 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - half] + after[:half]
 
 
-def _hex(prints: np.ndarray) -> list[str]:
-    return [p.astype(">u4").tobytes().hex() for p in prints]
+def _bytes(prints: np.ndarray) -> list[bytes]:
+    return [p.astype(">u4").tobytes() for p in prints]
 
 
-RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-          "edited_fingerprint string, near_edited double, near_next double")
-_PART = RESULT + ", part int, place string, own string, head string"
+RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
+          "edited_fingerprint binary, near_edited double, near_next double")
+_PART = RESULT + ", part int, own binary, head binary"
+_SCHEMA = pa.schema([
+    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
+    ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
+    ("near_edited", pa.float64()), ("near_next", pa.float64()), ("part", pa.int32()),
+    ("own", pa.binary()), ("head", pa.binary())])
 
 
 def _rows(ids: list, own: list[str], after: list[str], now: np.ndarray, then: np.ndarray) -> dict:
@@ -131,7 +138,7 @@ def _rows(ids: list, own: list[str], after: list[str], now: np.ndarray, then: np
     prints = fingerprints([kmers(x) for x in raw]) if raw else np.zeros((0, TUPLES), np.uint32)
     return {"doc_id": ids, "n_chars": [len(x) for x in own],
             "edited_sha256": [hashlib.sha256(x).hexdigest() for x in raw],
-            "fingerprint": _hex(now), "edited_fingerprint": _hex(prints),
+            "fingerprint": _bytes(now), "edited_fingerprint": _bytes(prints),
             "near_edited": (now == prints).mean(axis=1), "near_next": (now == then).mean(axis=1)}
 
 
@@ -143,54 +150,64 @@ def with_edits(docs: DataFrame) -> DataFrame:
     task hands the text of its first and its last document on, and these few rows, one or two for
     each task, are joined in a second step.
     """
-    order = ("doc_id", F.xxhash64("text"))
-    spread = two(docs).repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), *(
-        (c, pa.string()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")),
-        ("near_edited", pa.float64()), ("near_next", pa.float64()), ("part", pa.int32()),
-        *((c, pa.string()) for c in ("place", "own", "head"))])
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in portions(batches):
+            yield batch.set_column(2, "text", pa.array(map(pack.compress, batch.column(
+                "text").to_pylist()), pa.binary()))
+
+    packed = two(docs).select("doc_id", F.xxhash64("text").alias("content"), "text").mapInArrow(
+        shrink, "doc_id long, content long, text binary")
+    spread = packed.repartitionByRange("doc_id", "content").sortWithinPartitions("doc_id", "content")
+
+    def opened(packed: pa.Array) -> list[str]:
+        unpack = zstandard.ZstdDecompressor()
+        return [unpack.decompress(t).decode("utf-8", "replace") for t in packed.to_pylist()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         last, head = None, None
-        for batch in portions(batches, 1024):
+        for batch in portions(batches, 1024, "orderhash"):
             ids = batch.column("doc_id").to_pylist()
-            own = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             if not ids:
                 continue
+            own = opened(batch.column("text"))
             prints = fingerprints([kmers(t.encode()) for t in own])
             if last is None:
-                head = own[0]
+                head = batch.column("text")[0].as_py()
             else:
                 ids, own = [last[0], *ids], [last[1], *own]
                 prints = np.concatenate([last[2][None], prints])
             done = _rows(ids[:-1], own[:-1], own[1:], prints[:-1], prints[1:])
             n = len(ids) - 1
-            done |= {"part": [part] * n} | {c: [None] * n for c in ("place", "own", "head")}
-            yield pa.RecordBatch.from_pydict(done, schema=schema)
-            last = ids[-1], own[-1], prints[-1]
+            done |= {"part": [part] * n, "own": [None] * n, "head": [None] * n}
+            yield pa.RecordBatch.from_pydict(done, schema=_SCHEMA)
+            last = ids[-1], own[-1], prints[-1], batch.column("text")[-1].as_py()
         if last is not None:
-            row = dict.fromkeys(schema.names)
-            row |= {"doc_id": last[0], "part": part, "place": "end", "own": last[1], "head": head}
-            yield pa.RecordBatch.from_pylist([row], schema=schema)
+            row = dict.fromkeys(_SCHEMA.names)
+            row |= {"doc_id": last[0], "part": part, "own": last[3], "head": head}
+            yield pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
     found = materialize(spread.mapInArrow(run, _PART), "orderhash")
-    done = found.filter("place IS NULL").drop("part", "place", "own", "head")
-    ends = found.filter("place = 'end'").select("doc_id", "part", "own", "head")
-    # one row for each task of the shuffle
+    done = found.filter("own IS NULL").drop("part", "own", "head")
+    ends = found.filter("own IS NOT NULL").select("doc_id", "part", "own", "head")
+    # a number for each task of the shuffle in one place; the texts are joined by it
     by, everywhere = Window.orderBy("part"), Window.orderBy("part").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("doc_id", "own", F.coalesce(
-        F.lead("head").over(by), F.first("head").over(everywhere)).alias("head"))
+    after = ends.select("part").select("part", F.coalesce(
+        F.lead("part").over(by), F.first("part").over(everywhere)).alias("after"))
+    heads = ends.select(F.col("part").alias("after"), "head")
+    ends = ends.select("doc_id", "part", "own").join(after, "part").join(heads, "after")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, 1024):
-            own, after = batch.column("own").to_pylist(), batch.column("head").to_pylist()
-            if not own:
-                continue
-            now, then = (fingerprints([kmers(t.encode()) for t in x]) for x in (own, after))
-            yield pa.RecordBatch.from_pydict(_rows(
-                batch.column("doc_id").to_pylist(), own, after, now, then),
-                schema=pa.schema(list(schema)[:7]))
-
-    return done.unionAll(ends.mapInArrow(finish, RESULT))
+        for batch in portions(batches, 256, "orderhash"):
+            own, after = opened(batch.column("own")), opened(batch.column("head"))
+            if own:
+                now, then = (fingerprints([kmers(t.encode()) for t in x]) for x in (own, after))
+                yield pa.RecordBatch.from_pydict(_rows(
+                    batch.column("doc_id").to_pylist(), own, after, now, then),
+                    schema=pa.schema(list(_SCHEMA)[:7]))
+
+    finished = ends.select("doc_id", "own", "head").mapInArrow(finish, RESULT)
+    return done.unionAll(finished).withColumns({
+        c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})

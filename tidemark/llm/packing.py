@@ -97,7 +97,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, kind: str = "byte",
                      pa.array([x[4].astype("<u4").tobytes() for x in some], pa.binary())],
                     ["doc_id", "piece", "start", "length", "sequence_id", "offset", "ids"])
 
-        for batch in portions(batches, 2048):
+        for batch in portions(batches, 2048, "encoding"):
             ids, counts = coder.encode(texts(batch))
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):

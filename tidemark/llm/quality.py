@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import fold, portions, texts, two
+from tidemark.llm.common import forget, fold, portions, texts, two
 from tidemark.llm.labelled import sample
 
 _KINDS = np.zeros(256, np.int64)  # of a byte: other, lower, upper, digit, white, punctuation, high
@@ -157,14 +157,17 @@ def scores(docs: DataFrame, model: Trees, cut: float = 0.3) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Trees, cut: float = 0.3) -> DataFrame:
-    """The rows of `docs`, all columns, whose text is not rejected."""
-    schema = docs.schema
-    at = next(i for i, f in enumerate(schema.fields) if f.name == "text")
+    """The rows of `docs`, all columns, whose text is not rejected; a null text counts as empty.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, 1024):
-            x = [statistics((t or "").encode()) for t in batch.column(at).to_pylist()]
-            if x:
-                yield batch.filter(pa.array(model.score(np.array(x)) >= cut))
-
-    return docs.mapInArrow(run, schema)
+    Only texts go to Python, and a score a row comes back.
+    """
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        forget()
+        out = [np.zeros(0)]
+        for at in range(0, len(text), 256):
+            x = [statistics((t or "").encode()) for t in text.slice(at, 256).to_pylist()]
+            out.append(model.score(np.array(x)))
+        return pa.array(np.concatenate(out))
+
+    return docs.filter(score("text") >= cut)

@@ -199,3 +199,51 @@ walk AS (
     WHERE forms.form IS NOT NULL),
 roots AS (SELECT walk.word, root FROM walk JOIN forms ON root = forms.word WHERE forms.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+ORACLE_SQL["op2_minmax_dedup"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS s
+    FROM texts),
+classes AS (
+    SELECT min(doc_id) AS rep, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+parts AS (SELECT rep, len(s) AS n, unnest(s) AS shingle FROM classes),
+links AS (
+    SELECT a.rep AS x, b.rep AS y FROM parts AS a JOIN parts AS b USING (shingle)
+    WHERE a.rep <> b.rep AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+    SELECT rep AS x, rep AS y FROM classes
+    UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+least_of AS (SELECT x AS rep, min(y) AS component FROM reach GROUP BY x)
+SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component, sets.doc_id) AS component_id,
+    sets.doc_id = coalesce(component, sets.doc_id) AS kept
+FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s LEFT JOIN least_of USING (rep)"""
+
+ORACLE_SQL["op6_run_length_repeats"] = """
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents),
+places AS (
+    SELECT doc_id, i, md5(data[i:i + 399]) AS h
+    FROM texts, unnest(range(1, octet_length(data) - 398)) AS s(i)),
+twice AS (SELECT h FROM places GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT doc_id, i FROM places SEMI JOIN twice USING (h)),
+-- starts not more than 400 bytes apart make one run
+marked AS (
+    SELECT *, CASE WHEN i > coalesce(lag(i) OVER w, -400) + 400 THEN 1 ELSE 0 END AS new
+    FROM gone WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, run),
+kept AS (
+    SELECT doc_id, coalesce(lag(b) OVER w, 1) AS a, a AS b FROM runs
+    WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+    UNION ALL SELECT doc_id, max(b), NULL FROM runs GROUP BY doc_id),
+rest AS (
+    SELECT doc_id, string_agg(hex(data[a:coalesce(b - 1, octet_length(data))]), '' ORDER BY a) AS left_over
+    FROM kept JOIN texts USING (doc_id) WHERE coalesce(b - 1, octet_length(data)) >= a GROUP BY doc_id)
+SELECT doc_id, octet_length(data)::BIGINT AS n_bytes, coalesce(sum(b - a), 0)::BIGINT AS n_removed,
+    count(a) AS n_spans, sha256(CASE WHEN count(a) = 0 THEN data ELSE unhex(coalesce(any_value(left_over), '')) END)
+        AS kept_sha256
+FROM texts LEFT JOIN runs USING (doc_id) LEFT JOIN rest USING (doc_id) GROUP BY doc_id, data"""

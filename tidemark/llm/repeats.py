@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mix, portions, ranges, signed, texts, two
+from tidemark.llm.common import forget, mix, portions, ranges, signed, texts, two
 from tidemark.session import materialize
 
 K = 128  # bytes of an anchor
@@ -393,32 +393,28 @@ def without_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
 
     Where a cut leaves part of a character, that part goes too. A null text stays null.
     """
-    spans = repeated(docs, length).select(F.col("doc_id").alias("__id"), F.col("doc").alias("__doc"),
-                                          F.col("spans").alias("__spans"))
-    key = F.xxhash64(F.col("doc_id").cast("long"),
-                     F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    held = docs.withColumn("__key", key).join(spans, F.expr(
-        "CAST(doc_id AS LONG) <=> __id AND __key = __doc"), "left").drop("__id", "__doc", "__key")
-    at = docs.columns.index("text")
-    schema = docs.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches):
-            out = []
-            spans = batch.column(batch.num_columns - 1)
-            for i, text in enumerate(batch.column(at).to_pylist()):
-                own = spans[i].values
-                if text is None or own is None:
-                    out.append(text)
-                    continue
-                raw = text.encode()
+    spans = repeated(docs, length)
+    # the row is one column until the end, so that no name of its own can clash
+    key = F.xxhash64(F.col("row.doc_id").cast("long"),
+                     F.coalesce(F.col("row.text"), F.lit("")).cast("binary"))
+    held = docs.select(F.struct("*").alias("row")).select("row", key.alias("key")).join(
+        spans, F.expr("CAST(row.doc_id AS LONG) <=> doc_id AND key = doc"), "left")
+
+    @F.arrow_udf("string")
+    def left(text: pa.Array, spans: pa.Array) -> pa.Array:
+        forget()
+        out = []
+        for i, raw in enumerate(text.cast(pa.large_binary())):
+            own = spans[i].values
+            raw = raw.as_py()
+            if raw is not None and own is not None:
                 a, b = _gone(len(raw), np.stack(
                     [np.asarray(own.field(c)).astype(np.int64) for c in ("lo", "hi")], axis=1))
-                out.append(_kept(raw, a, b).decode("utf-8", "ignore"))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            columns[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    return held.mapInArrow(run, schema)
-
-
+                raw = _kept(raw, a, b).decode("utf-8", "ignore").encode()
+            out.append(raw)
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+    text, some = F.col("row.text"), F.col("spans").isNotNull()   # no other text goes to Python
+    kept = F.when(some, left(F.when(some, text), "spans")).otherwise(text)
+    return held.select(*((kept if c == "text" else F.col(f"row.`{c}`")).alias(c)
+                         for c in docs.columns))

@@ -164,7 +164,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, ki
                 "lengths": pa.array([lengths], pa.list_(pa.int64())),
                 "planes": pa.array([WaveletMatrix.of(ids).to_bytes()], pa.binary())})
 
-        for batch in portions(batches, 2048):
+        for batch in portions(batches, 2048, "encoding"):
             ids, counts = coder.encode(texts(batch))
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
@@ -217,6 +217,39 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 
+def occurrences(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """doc_id, token, at (from 0 in the document): where the tokens stand, by rank and select in the
+    shard files; no shard is decoded."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = WaveletMatrix.from_bytes(row["planes"])
+                starts = np.concatenate([[0], np.cumsum(row["lengths"])])
+                for token in tokens:
+                    found = np.array([matrix.find(token, k) for k in range(matrix.count(token))], np.int64)
+                    own = np.searchsorted(starts, found, "right") - 1
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": pa.array(row["doc_ids"], pa.int64()).take(pa.array(own)),
+                        "token": pa.array(np.full(len(found), token, np.int64)),
+                        "at": pa.array(found - starts[own])})
+
+    return spark.read.schema(SHARD).parquet(path).mapInArrow(find, "doc_id long, token long, at long")
+
+
+def counts(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """token, n: how often each token stands in all shards, by rank alone."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for planes in batch.column("planes"):
+                matrix = WaveletMatrix.from_bytes(planes.as_py())
+                yield pa.RecordBatch.from_pydict({
+                    "token": pa.array(tokens, pa.int64()),
+                    "n": pa.array([matrix.count(t) for t in tokens], pa.int64())})
+
+    shards = spark.read.schema(SHARD).parquet(path).select("planes")
+    return shards.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write shards below the shared folder and digest what is read back from them."""
     spark = docs.sparkSession
