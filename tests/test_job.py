@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.plans import job
+from tidemark.plans import job, marts, quality
 from tidemark.plans.quality import CheckFailed
 from tidemark.schemas import ENTITIES
 from tidemark.sources import ndjson, testdata
@@ -64,6 +64,54 @@ def test_marts_are_built_from_the_last_state(lake):
     assert total == lake.table("fct_orders").count()
 
 
+def test_the_funnel_is_kept_up_by_change(lake, monkeypatch):
+    """What two days have left is what all facts give, and the second day did not read them all."""
+    state = lake.store("funnel_state")
+    assert state.version() == 2 and state.noted()[job.TAKEN] == lake.store("fct_orders").version()
+    assert rows(lake.table("mart_order_funnel")) == rows(
+        marts.mart_order_funnel(lake.table("fct_orders")))
+    monkeypatch.setattr(marts, "funnel_state", None)      # nothing is made anew without need
+    assert job.keep_funnel(lake, None).count() == state.rows()
+
+
+def test_late_and_forced_rows_reach_the_facts(lake, spark):
+    """Older than all that the facts hold, under an id that is new."""
+    late = (testdata.orders_on(spark, SF, 1).limit(1)
+            .withColumn("order_id", F.lit(5_000_000_000)).withColumn("total_amount", F.lit(7.125)))
+    ndjson.write_ndjson(ndjson.stamp(late, "2025-12-01 00:00:00"), lake.landing, ENTITIES["orders"],
+                        dt.date(2025, 12, 1))
+    before = lake.table("fct_orders").count()
+    job.run_day(lake, RUNS[1] + dt.timedelta(hours=2))
+    got = lake.table("fct_orders")
+    assert got.count() == before + 1
+    assert got.filter("order_id = 5000000000").first().total_amount == 7.125
+    assert rows(lake.table("mart_order_funnel")) == rows(marts.mart_order_funnel(got))
+
+
+def test_settled_checks_cost_no_job(lake, spark):
+    """Gate, monitor and freshness read the notes of the writers; checks of nulls and values read
+    nothing, so a layer takes the jobs of its uniqueness and key checks alone."""
+    sc = spark.sparkContext
+    reads = []
+    kept = job.Lakehouse.table
+    try:
+        job.Lakehouse.table = lambda self, name: reads.append(name) or kept(self, name)
+        sc.setJobGroup("watch", "watch")
+        job.watch_layers(lake, RUNS[1])
+    finally:
+        job.Lakehouse.table = kept
+        sc.setJobGroup("rest", "rest")
+    assert reads == ["monitoring_pipeline_health"]
+    watched = {n: lake.store(n).watched() for n in quality.NOT_NULL["silver"]}
+    found = quality.column_checks(lake.tables(quality.NOT_NULL["silver"]), "silver", watched)
+    assert set(found) == {"unique"}
+    sc.setJobGroup("checks", "checks")
+    quality.require_none(found)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("checks"))
+    sc.setJobGroup("rest", "rest")
+    assert 0 < jobs <= 2 * len(quality.UNIQUE["silver"]) + 2
+
+
 def test_health_covers_all_layers(lake):
     health = {r.table_name: r for r in lake.table("monitoring_pipeline_health").collect()}
     assert len(health) == 11

@@ -21,29 +21,34 @@ def changes(before: DataFrame, after: DataFrame, by: Mapping[str, Column],
             values: Mapping[str, Column]) -> DataFrame:
     """What the sums gain when the rows of `before` give way to those of `after`; groups that gain
     nothing are left out. Only changed rows are read, and partial sums are shuffled."""
-    signed = [rows.select(F.lit(sign).alias("_sign"), *(c.alias(n) for n, c in by.items()), *(
-        (F.coalesce(c, F.lit(0)) * sign).alias(n) for n, c in values.items()))
-        for sign, rows in ((-1, before), (1, after))]
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        # negated, not multiplied: a product of decimals may have fewer decimals
+        known = {n: F.coalesce(c, F.lit(0)) for n, c in values.items()}
+        return rows.select(F.lit(sign).alias("_sign"), *(c.alias(n) for n, c in by.items()), *(
+            (c if sign > 0 else -c).alias(n) for n, c in known.items()))
+
     names = [ROWS, *values]
-    found = signed[0].unionByName(signed[1]).groupBy(*by).agg(
+    found = signed(before, -1).unionByName(signed(after, 1)).groupBy(*by).agg(
         F.sum("_sign").alias(ROWS), *(F.sum(n).alias(n) for n in values))
     return found.filter(" OR ".join(f"{n} <> 0" for n in names))
 
 
+def _touching(state: DataFrame, gained: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    touched = gained.select(*(F.col(c).alias(f"_t_{c}") for c in by))
+    return state.join(touched, [F.col(f"_t_{c}").eqNullSafe(F.col(c)) for c in by], how)
+
+
 def applied(state: DataFrame, gained: DataFrame, by: Sequence[str]) -> DataFrame:
     """The sums after the change, of the groups that it touches: groups left without rows come with
     none, for the caller to drop. `state` may be the whole of it or the part that is touched."""
     names = [c for c in state.columns if c not in by]
-    old = state.select(*(F.col(c).alias(f"_old_{c}") for c in state.columns))
-    same = [F.col(f"_old_{c}").eqNullSafe(F.col(c)) for c in by]
-    return gained.join(old, same, "left").select(*by, *(
-        (F.coalesce(f"_old_{n}", F.lit(0)) + F.col(n)).cast(state.schema[n].dataType).alias(n)
-        for n in names))
+    both = _touching(state, gained, by, "left_semi").unionByName(gained)
+    # summed, not added: a sum of decimals keeps their decimals
+    return both.groupBy(*by).agg(*(
+        F.sum(n).cast(state.schema[n].dataType).alias(n) for n in names)).select(state.columns)
 
 
 def kept_up(state: DataFrame, gained: DataFrame, by: Sequence[str]) -> DataFrame:
     """The whole state after the change: untouched groups as they are, emptied ones gone."""
-    touched = gained.select(*(F.col(c).alias(f"_t_{c}") for c in by))
-    same = [F.col(f"_t_{c}").eqNullSafe(F.col(c)) for c in by]
-    return (state.join(touched, same, "left_anti")
+    return (_touching(state, gained, by, "left_anti")
             .unionByName(applied(state, gained, by).filter(F.col(ROWS) > 0)))
