@@ -103,22 +103,31 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, doc (hash of id and text), pos, anchor, context."""
+    """doc_id, doc (hash of id and text), places, anchor, context: a row for each kind of anchor and
+    context in a document, however often a line that is repeated there makes it occur."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             found = [anchors(t, length) for t in texts(batch)]
             n = [len(f[0]) for f in found]
             if not sum(n):
                 continue
-            rows = pa.array(np.repeat(np.arange(len(n)), n))
+            rows = np.repeat(np.arange(len(n)), n)
             at, key, ctx = (np.concatenate([f[i] for f in found]) for i in range(3))
+            order = np.lexsort((at, ctx, key, rows))
+            rows, at, key, ctx = rows[order], at[order], key[order], ctx[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (rows[1:] != rows[:-1]) | (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])
+            first = np.flatnonzero(new)
+            places = pa.ListArray.from_arrays(
+                pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(at.astype(np.int32)))
+            rows = pa.array(rows[first])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(rows), batch.column("doc").take(rows),
-                 pa.array(at.astype(np.int32)), pa.array(signed(key)), pa.array(signed(ctx))],
-                ["doc_id", "doc", "pos", "anchor", "context"])
+                [batch.column("doc_id").take(rows), batch.column("doc").take(rows), places,
+                 pa.array(signed(key[first])), pa.array(signed(ctx[first]))],
+                ["doc_id", "doc", "places", "anchor", "context"])
 
     return _keyed(docs).mapInArrow(
-        run, "doc_id long, doc long, pos int, anchor long, context long")
+        run, "doc_id long, doc long, places array<int>, anchor long, context long")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -303,14 +312,15 @@ def repeated(docs: DataFrame, length: int = 400, most_contexts: int = 5000,
     """
     found = occurrences(docs, length)  # worked out twice, which takes less than keeping it
     many = materialize(
-        found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("least"),
+        found.groupBy("anchor").agg(F.sum(F.size("places")).alias("n"), F.min("context").alias("least"),
                                     F.max("context").alias("greatest"))
         .filter("n > 1").select("anchor", (F.col("least") != F.col("greatest")).alias("mixed")),
         "repeated")
     hits = materialize(found.join(many, "anchor"), "hits")
-    mixed = hits.filter("mixed").select("doc_id", "doc", "pos", "anchor", "context")
+    mixed = hits.filter("mixed").select("doc_id", "doc", "places", "anchor", "context")
     kinds = materialize(mixed.groupBy("anchor", "context").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "doc", "pos")).alias("one")), "kinds")
+        F.sum(F.size("places")).alias("n"),
+        F.min(F.struct("doc_id", "doc", F.col("places")[0].alias("pos"))).alias("one")), "kinds")
     per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("contexts"))
     wide = per_anchor.filter(F.col("contexts") > most_contexts).select("anchor")
     # one place for each distinct context; a context met twice needs no index, but others match it
@@ -325,16 +335,16 @@ def repeated(docs: DataFrame, length: int = 400, most_contexts: int = 5000,
         F.collect_list(F.struct("lo", "hi")).alias("parts"))
 
     whole = F.array(F.struct(F.lit(K - length).alias("lo"), F.lit(length).alias("hi")))
-    simple = hits.filter("NOT mixed").select("doc_id", "doc", "pos", whole.alias("parts"))
+    simple = hits.filter("NOT mixed").select("doc_id", "doc", "places", whole.alias("parts"))
     # a context met once is where `one` says; one met more often repeats as a whole, at each place
     once = kinds.filter("n = 1").join(matched, ["anchor", "context"]).select(
-        "one.doc_id", "one.doc", "one.pos", "parts")
+        "one.doc_id", "one.doc", F.array("one.pos").alias("places"), "parts")
     often = mixed.join(kinds.filter("n > 1"), ["anchor", "context"], "left_semi").select(
-        "doc_id", "doc", "pos", whole.alias("parts"))
+        "doc_id", "doc", "places", whole.alias("parts"))
     placed = simple.unionAll(once).unionAll(often).select(
-        "doc_id", "doc", F.transform("parts", lambda p: F.struct(
-            F.greatest(p["lo"] + F.col("pos"), F.lit(0)).alias("lo"),
-            (p["hi"] + F.col("pos")).alias("hi"))).alias("parts"))
+        "doc_id", "doc", F.flatten(F.transform("places", lambda at: F.transform(
+            "parts", lambda p: F.struct(F.greatest(p["lo"] + at, F.lit(0)).alias("lo"),
+                                        (p["hi"] + at).alias("hi"))))).alias("parts"))
     return placed.groupBy("doc_id", "doc").agg(F.flatten(F.collect_list("parts")).alias("spans"))
 
 
