@@ -8,6 +8,6 @@ from tidemark.operators.overlap import overlapping_versions
 from tidemark.operators.upsert import DuplicateKeys, require_unique, sync_columns, upsert
 from tidemark.operators.watermark import high_water_mark, since
 
-__all__ = ["delta", "distinct", "advance", "is_current", "snapshot", "latest", "Order", "ntile_scores", "tile_columns",
-           "overlapping_versions", "DuplicateKeys", "require_unique", "sync_columns", "upsert",
-           "high_water_mark", "since"]
+__all__ = ["delta", "distinct", "advance", "is_current", "snapshot", "latest", "Order",
+           "ntile_scores", "tile_columns", "overlapping_versions", "DuplicateKeys",
+           "require_unique", "sync_columns", "upsert", "high_water_mark", "since"]
