@@ -19,7 +19,7 @@ import json
 import os
 import re
 from functools import cache
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -137,12 +137,12 @@ class Encoder:
 
     def _codes(self, pieces: list) -> np.ndarray:
         """Numbers of different pieces, new ones counted on."""
-        found = list(map(self.memo.get, pieces))
-        new = [p for p, code in zip(pieces, found) if code is None]
-        self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
-        if new:
-            found = list(map(self.memo.__getitem__, pieces))
-        return np.array(found, np.int64)
+        memo = self.memo
+        codes = np.fromiter(map(memo.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(codes < 0)
+        codes[new] = np.arange(len(memo), len(memo) + len(new))
+        memo.update(zip(map(pieces.__getitem__, new.tolist()), codes[new].tolist()))
+        return codes
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if not self.known:

@@ -164,7 +164,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, ki
                 "lengths": pa.array([lengths], pa.list_(pa.int64())),
                 "planes": pa.array([WaveletMatrix.of(ids).to_bytes()], pa.binary())})
 
-        for batch in portions(batches, 2048, "encoding"):
+        for batch in portions(batches, 4096, "encoding"):
             ids, counts = coder.encode(texts(batch))
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
