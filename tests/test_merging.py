@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from pathlib import Path
 
 import pytest
 from conftest import plan, rows
@@ -6,8 +8,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import (
     DuplicateKeys, high_water_mark, latest, require_unique, since, sync_columns, upsert)
-from tidemark.session import scratch_path
+from tidemark.plans import silver
+from tidemark.schemas import ENTITIES
+from tidemark.session import scratch_path, shared_root
+from tidemark.sources import ndjson
 from tidemark.sources.tables import FIRST, NONE, Table, chunk_of
+from tidemark.streaming.bronze import load_new_files
+from tidemark.streaming.silver import refresh_silver
 
 T1, T2, T3 = (dt.datetime(2026, 1, d) for d in (1, 2, 3))
 SCHEMA = "id long, v string, _extracted_at timestamp_ntz"
@@ -203,3 +210,53 @@ def test_a_hot_key_is_split_by_the_join(spark, frame):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_absorbed_as_they_came_stand_as_ranked_and_merged_ones_would(spark, frame):
+    rng = random.Random(7)
+    entity, at = ENTITIES["products"], dt.datetime(2026, 1, 1)
+    copies = lambda: set(Path(shared_root(spark)).glob("batch-*"))
+
+    def batch(n, keys):
+        return frame([(rng.choice([None, *range(keys)]), rng.choice([" a", "b ", None]), rng.choice(["X ", "y"]),
+                       rng.choice([1.0, 2.5, -1.0]), rng.choice([None, 0.5]), rng.choice([-3, 4, None]), None, 1,
+                       None, rng.choice([None, *(at + dt.timedelta(days=d) for d in range(3))]))
+                      for _ in range(n)], entity.fields)
+
+    plain, table = None, Table(spark, scratch_path(spark, "absorbed"), entity.key, 20)
+    for n, keys, repeated in ((40, 400, False), (30, 500, False), (300, 60, True), (0, 1, False)):
+        rows_ = batch(n, keys)
+        if not repeated:
+            rows_ = rows_.dropDuplicates([entity.key])
+        clean = spark.createDataFrame(silver.products(rows_).collect(), silver.products(rows_).schema)
+        plain = clean if plain is None else upsert(plain, clean, entity.key, "_extracted_at")
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+        before = copies()
+        table.absorb(silver.valid(rows_, "products"), "_extracted_at", silver.tidied("products"))
+        assert repeated or copies() == before   # shuffled once, and not stored in between
+        assert rows(table.read().select(plain.columns)) == rows(plain)
+    assert len(table._commits()) > 2
+
+
+def test_an_empty_first_batch_is_absorbed_as_an_empty_table(spark, frame):
+    table = Table(spark, scratch_path(spark, "absorbed"), "product_id")
+    none = frame([], ENTITIES["products"].fields)
+    table.absorb(silver.valid(none, "products"), "_extracted_at", silver.tidied("products"))
+    assert table.exists() and table.read().columns == silver.products(none).columns
+    assert table.read().count() == 0
+
+
+def test_refreshing_a_clean_table_stores_no_batch_beside_it(spark, frame):
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    orders, at = ENTITIES["orders"], dt.datetime(2026, 1, 1)
+    table = Table(spark, scratch_path(spark, "stg_orders"), "order_id", 4)
+    before = set(Path(shared_root(spark)).glob("batch-*"))
+    for day in (2, 1):
+        ndjson.write_ndjson(frame([(i, i, at, "Shipped", None, "x", float(day), at, at + dt.timedelta(days=day))
+                                   for i in range(day, 30, day)], orders.fields), landing, orders,
+                            dt.date(2026, 1, day))
+        load_new_files(spark, landing, root, orders, at)
+        refresh_silver(spark, root, orders, table)
+    assert set(Path(shared_root(spark)).glob("batch-*")) == before
+    assert rows(table.read(), "order_id", "total_amount") == [
+        (i, float(1 + (i % 2 == 0))) for i in sorted(range(1, 30), key=str)]
