@@ -376,3 +376,46 @@ def test_tokens_are_counted_and_found_in_the_files(spark):
     assert sorted(map(tuple, wavelet.occurrences(spark, shards, wanted).collect())) == want
     n = Counter(t for _, t, _ in want)
     assert dict(map(tuple, wavelet.counts(spark, shards, wanted).collect())) == {t: n[t] for t in wanted}
+
+
+def test_a_task_gives_back_what_it_has_freed(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(len(seen)))
+    seen = []
+    for part in common.portions(iter([pa.record_batch({"a": list(range(5))})] * 2), 2):
+        seen.append(part.num_rows)
+    assert seen == [2, 2, 1] * 2 and given == [0, 6]
+    monkeypatch.undo()
+    common.give_back()
+    assert pa.total_allocated_bytes() >= 0
+
+
+def test_a_worker_holds_no_more_after_a_task_than_it_has_learnt():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import pyarrow as pa
+from tidemark.llm.common import portions
+def held():
+    return int(next(x for x in open('/proc/self/status') if x.startswith('VmRSS')).split()[1]) // 1024
+batch = pa.record_batch({'text': pa.array([b'x' * 40] * 1000)})
+before = held()
+def task():
+    junk, kept = [], []
+    for part in portions(iter([batch]), 1000):
+        junk = [bytes(1000 + i % 7) for i in range(200_000)]
+        kept = junk[::2000]
+        junk = None
+    return kept
+kept = task()
+print(held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=Path(__file__).resolve().parents[2])
+    assert int(out.stdout) < 60   # 200 MB were freed around a few that stay

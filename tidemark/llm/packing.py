@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import portions, texts, two
+from tidemark.llm.common import give_back, portions, texts, two
 from tidemark.llm.encoding import encoder
 
 PACKED = ("doc_id long, piece int, start long, length long, sequence_id long, offset long, "
@@ -97,7 +97,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, kind: str = "byte",
                      pa.array([x[4].astype("<u4").tobytes() for x in some], pa.binary())],
                     ["doc_id", "piece", "start", "length", "sequence_id", "offset", "ids"])
 
-        for batch in portions(batches, 2048, "encoding"):
+        for batch in portions(batches, 1024, "encoding"):
             ids, counts = coder.encode(texts(batch))
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
@@ -110,6 +110,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, kind: str = "byte",
                     yield from flush()
                     held, size = [], 0
         yield from flush()
+        held = batch = ids = own = None
+        give_back()
 
     return two(docs).mapInArrow(run, PACKED)
 
